@@ -61,3 +61,11 @@ def lower_ascii(column: Column) -> Column:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def freed(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files of steps whose plans nobody holds any more."""
+    import gc
+
+    gc.collect()
+    spark._jvm.System.gc()

@@ -1,9 +1,13 @@
 """Queries of this subpackage and their SQL twins."""
 
-from . import decontaminate, exact_dedup, preference_chat, source_mix
+from . import decontaminate, exact_dedup, jaccard_join, language_id, preference_chat, quality_cnn, source_mix, toxicity
 
 QUERIES = {
+    "op9_quality_cnn": quality_cnn.op9_quality_cnn,
+    "op10_language": language_id.op10_language,
+    "op4_jaccard_groups": jaccard_join.op4_jaccard_groups,
     "op2_source_mix": source_mix.op2_source_mix,
+    "op3_toxicity": toxicity.op3_toxicity,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_template_leaks": decontaminate.op7_template_leaks,
     "op8_preference_chat": preference_chat.op8_preference_chat,
