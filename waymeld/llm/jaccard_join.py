@@ -7,9 +7,9 @@ many of a few reserve segments up with one difference allowed (their one-deletio
 which keeps the sum that the pigeonhole needs. Every candidate is verified on the words themselves.
 
 Equal sets are one set from the start. In a bucket, all sets are held against one centre, so a group of n near
-copies costs n pairs; what is linked already is never compared again, and further centres follow only while a
-bucket still holds sets of different components. No link between different texts is lost and no pairs of a whole
-group are emitted.
+copies costs n pairs. Only buckets that still hold sets of different components are then compared in full: their
+sets meet block by block inside a task that returns a spanning forest of links. No link between different texts
+is lost and no pairs of a whole group are emitted.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -31,8 +32,8 @@ from .components import components
 SHINGLE, PERCENT, COSTLY = 3, 90, 1
 #: Roles of a set in a bucket: there to be found only, looking up only, both.
 HOLD, LOOK, BOTH = 0, 1, 2
-#: Sets of different components in a bucket that are compared with each other outright; doubles every round.
-OUTRIGHT = 48
+#: Sets of a block; the sets of a cluster are compared block against block.
+BLOCK = 512
 
 
 def bands(upto: int, percent: int) -> np.ndarray:
@@ -140,7 +141,46 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
     return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(run, "a long, b long")
 
 
-def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, outright: int = OUTRIGHT) -> DataFrame:
+def compared(mates: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
+    """Links (a, b) that join different components c within a cluster; mates: id, c, cluster.
+
+    A cluster of n sets is cut into n / block blocks by hash, and every two blocks meet in one task, which holds
+    2 * block sets and returns at most a spanning forest of the links it finds.
+    """
+    blocks = mates.groupBy("cluster").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
+    placed = mates.join(blocks, "cluster").withColumn("b", F.pmod(F.xxhash64(F.lit(7), "id"), F.col("nb")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select(
+        "cluster", "id", "c", "b", F.least("b", "other").alias("p"), F.greatest("b", "other").alias("q"))
+    rows = met.join(texts.select(F.col("doc_id").alias("id"), "text"), "id")
+
+    def link(group: pd.DataFrame) -> pd.DataFrame:
+        n, of, where = len(group), {}, []
+        for i, text in enumerate(group["text"]):
+            for x in (mine := shingle_set(text, shingle)):
+                of.setdefault(x, []).append(i)
+            where.append(len(mine))
+        size, shared = np.array(where), np.zeros((n, n), dtype=np.int32)
+        for have in of.values():
+            if len(have) > 1:
+                at = np.array(have)
+                shared[at[:, None], at] += 1
+        ids, c, b = group["id"].to_numpy(), group["c"].to_numpy(), group["b"].to_numpy()
+        x, y = np.nonzero(np.triu((shared > 0) & (100 * shared >= percent * (size[:, None] + size - shared)), 1))
+        apart = (c[x] != c[y]) & ((b[x] != b[y]) | (group["p"].iloc[0] == group["q"].iloc[0]))
+        root: dict[int, int] = {}
+        find = lambda v: v if root.get(v, v) == v else find(root[v])
+        out = []
+        for i, j in zip(x[apart], y[apart]):
+            r, t = find(c[i]), find(c[j])
+            if r != t:
+                root[max(r, t)] = min(r, t)
+                out.append((ids[i], ids[j]))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return rows.groupBy("cluster", "p", "q").applyInPandas(link, "a long, b long")
+
+
+def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (least doc_id that links lead to).
 
     A null or wordless text has no shingles and is a component of its own; fewer words than a shingle make one
@@ -163,31 +203,22 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     # Only texts that share a bucket with another are verified, so only they are kept.
     texts = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     freed(spark)
-    links = None
-    labels = spark.createDataFrame([], "id long, component long")
-    first = True
-    while True:
-        label = labels.select("id", F.col("component").alias("c"))
-        state = bucket.join(label, "id", "left").withColumn("c", F.coalesce("c", "id"))
-        # A bucket goes on while it holds different components, of which one looks up and one can be found.
-        centre = F.coalesce(F.min(F.when(F.col("role") == BOTH, F.col("id"))), F.min(F.when(F.col("role") == LOOK, F.col("id"))))
-        open_ = state.groupBy("key").agg(centre.alias("centre"), F.max(F.col("role") == BOTH).alias("main"), F.max(F.col("role") != LOOK).alias("holds"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).filter("centre IS NOT NULL AND holds AND lo < hi").select("key", "centre", "main", "n")
-        now = written(state.join(open_, "key"))
-        if now.limit(1).count() == 0:
-            break
-        star = now.filter((F.col("n") > (2 if first else outright)) & (F.col("id") != F.col("centre")) & (F.col("main") | (F.col("role") == HOLD)))
-        star = star.join(label.select(F.col("id").alias("centre"), F.col("c").alias("cc")), "centre", "left").filter(F.coalesce("cc", "centre") != F.col("c")).select(F.col("centre").alias("a"), F.col("id").alias("b"))
-        few = now.filter(F.col("n") <= (2 if first else outright))
-        x, y = few.select("key", F.col("id").alias("a"), F.col("c").alias("ca"), F.col("role").alias("ra")), few.select("key", F.col("id").alias("b"), F.col("c").alias("cb"), F.col("role").alias("rb"))
-        each = x.join(y, "key").filter("a < b AND ca <> cb").filter(((F.col("ra") != HOLD) & (F.col("rb") != LOOK)) | ((F.col("rb") != HOLD) & (F.col("ra") != LOOK))).select("a", "b")
-        pairs = star.unionByName(each).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        found = verified(pairs, texts, shingle, percent)
-        links = written(links.select("a", "b").unionByName(found) if links is not None else found)
-        labels = components(links)
-        # The centres, and buckets whose sets met each other outright, are done with.
-        bucket = written(now.filter((F.col("n") > (2 if first else outright)) & (F.col("id") != F.col("centre"))).select("key", "id", "role"))
-        outright, first = outright if first else outright * 2, False
-        freed(spark)
+    # First every set of a bucket is held against one centre.
+    centre = F.coalesce(F.min(F.when(F.col("role") == BOTH, F.col("id"))), F.min(F.when(F.col("role") == LOOK, F.col("id"))))
+    centres = bucket.groupBy("key").agg(centre.alias("centre"))
+    star = bucket.join(centres, "key").filter("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
+    links = written(verified(star, texts, shingle, percent))
+    labels = components(links)
+    # A bucket that then still holds different components is compared in full, once for all buckets with the same sets.
+    state = bucket.join(labels.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
+    left = state.groupBy("key").agg(F.min("id").alias("first"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).filter("lo < hi AND n > 2").select("key", "first")
+    open_ = written(state.join(left, "key").select("id", "c", "first").distinct())
+    clusters = components(open_.select(F.col("first").alias("a"), F.col("id").alias("b")))
+    mates = open_.select("id", "c").distinct().join(clusters, "id").withColumnRenamed("component", "cluster")
+    more = compared(mates, texts, shingle, percent, block)
+    both = written(links.select("a", "b").unionByName(more))
+    labels = components(both)
+    dropped(bucket, links, both, open_)
     dropped(texts)
     final = members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
     return final.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
