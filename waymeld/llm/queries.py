@@ -1,8 +1,9 @@
 """Queries of this subpackage and their SQL twins."""
 
-from . import decontaminate, deleted_interpolation, exact_dedup, jaccard_join, language_id, preference_chat, quality_cnn, source_mix, toxicity
+from . import decontaminate, deleted_interpolation, exact_dedup, jaccard_join, language_id, passage_chains, preference_chat, quality_cnn, source_mix, toxicity
 
 QUERIES = {
+    "op1_passage_chains": passage_chains.op1_passage_chains,
     "op5_deleted_interpolation": deleted_interpolation.op5_deleted_interpolation,
     "op9_quality_cnn": quality_cnn.op9_quality_cnn,
     "op10_language": language_id.op10_language,
