@@ -10,7 +10,7 @@ tokens enter through a histogram whose cells are bounded by parameters.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +18,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._store import dropped, fold, freed, small_batches, table, written
+from ._store import dropped, fold, freed, table, written
 from ._words import mix, pieces, words
 
 #: Bytes of text in a block, tokens that one counting task holds, context-frequency buckets, steps of the histogram per octave and its octaves.
@@ -50,8 +50,6 @@ _BLOCK = "ids array<long>, lens array<int>, train array<boolean>, vocab binary,
 
 def blocks(docs: DataFrame) -> DataFrame:
     """docs: doc_id, text, train. Blocks of texts: tokens as places in the block's sorted words, an end after each text."""
-    small_batches(docs.sparkSession, 3000)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches, most=BLOCK_BYTES):
             w = words(b.column("text"))
@@ -143,7 +141,7 @@ def _cells(n: int, starts: int):
                 p2, p1 = np.where(context > 0, c2 / np.maximum(context, 1), 0.0), c1 / max(n - 1, 1)
                 cell = (_context_bucket(context) * (OCTAVES * STEPS + 1) + step(p2)) * (OCTAVES * STEPS + 1) + step(p1)
                 k, back, many = np.unique(cell, return_inverse=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(many, pa.int64()), pa.array(np.bincount(back, weights=p2, minlength=len(k))), pa.array(np.bincount(back, weights=p1, minlength=len(k)))], names=["cell", "many", "s2", "s1"])
+                yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(many, pa.int64()), pa.array(np.bincount(back, weights=p2, minlength=len(k)).astype(float)), pa.array(np.bincount(back, weights=p1, minlength=len(k)).astype(float))], names=["cell", "many", "s2", "s1"])
     return run
 
 
@@ -184,10 +182,21 @@ def lm_scores(docs: DataFrame, train: str = "train") -> DataFrame:
     scores are those of the uniform estimate. Repeated rows count as often as they stand. Empty in, empty out.
     """
     spark = docs.sparkSession
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows, "10000")
+    try:
+        return _lm_scores(docs, train, lambda n: spark.conf.set(rows, str(n)))
+    finally:
+        spark.conf.set(rows, before)
+
+
+def _lm_scores(docs: DataFrame, train: str, batch_rows: Callable[[int], None]) -> DataFrame:
+    spark = docs.sparkSession
+    batch_rows(3000)
     held = written(blocks(docs.select("doc_id", "text", F.coalesce(F.col(train), F.lit(False)).alias("train"))))
     size = held.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     buckets = max(12, math.ceil(size / TASK_TOKENS))
-    small_batches(spark, 4)  # a row is a block
+    batch_rows(4)  # a row is a block
     asked = held.select("block", "lens", "train", "vocab", "inv").mapInArrow(_requests(buckets), "block long, order int, bucket int, keys binary, n binary")
     replies = written(asked.groupBy("order", "bucket").applyInArrow(_replies, "block long, order int, bucket int, counts binary, total long, kinds long"))
     n, kinds = replies.filter(F.col("order") == 1).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
@@ -199,7 +208,9 @@ def lm_scores(docs: DataFrame, train: str = "train") -> DataFrame:
     freed(spark)
     cells = counted.mapInArrow(_cells(n, starts), "cell long, many long, s2 double, s1 double").groupBy("cell").agg(F.sum("many"), F.sum("s2"), F.sum("s1"))
     weights = mixture([tuple(r) for r in cells.orderBy("cell").collect()], kinds)  # CONTEXTS * (OCTAVES * STEPS + 1) ** 2 cells at most
-    return counted.mapInArrow(_scores(n, kinds, starts, weights), "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    out = written(counted.mapInArrow(_scores(n, kinds, starts, weights), "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double"))
+    dropped(counted)
+    return out
 
 
 def op5_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
