@@ -96,7 +96,7 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """docs without those that leak an item."""
     gone = leaks(docs, items, **options).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def op7_template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -194,14 +194,15 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     members = written(signed.join(least, sets, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
     dropped(signed)
     copies = members.filter("doc_id <> rep").select("doc_id")
-    single = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").join(copies, "doc_id", "left_anti")
+    single = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").join(copies.hint("merge"), "doc_id", "left_anti")
+    # Lists of ids grow with the input, so these joins shuffle at every size.
     here = W.partitionBy("key")
     rows = keys(single, shingle, percent).select("key", "id", "role", F.min("id").over(here).alias("lo"), F.max("id").over(here).alias("hi"), F.max(F.col("role") != HOLD).over(here).alias("looks"), F.max(F.col("role") != LOOK).over(here).alias("holds"))
     bucket = written(rows.filter("lo < hi AND looks AND holds").groupBy("key", "id").agg(F.max("role").alias("role")))
     freed(spark)
     ids = bucket.select(F.col("id").alias("doc_id")).distinct()
     # Only texts that share a bucket with another are verified, so only they are kept.
-    texts = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    texts = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
     freed(spark)
     # First every set of a bucket is held against one centre.
     centre = F.coalesce(F.min(F.when(F.col("role") == BOTH, F.col("id"))), F.min(F.when(F.col("role") == LOOK, F.col("id"))))
@@ -227,7 +228,7 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs with the least doc_id of every group of near duplicates; rows without doc_id stay."""
     gone = jaccard_groups(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
 
 
 def op4_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
