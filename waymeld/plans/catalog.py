@@ -98,6 +98,22 @@ both("q_stable_id", """SELECT s_suppkey, shiftrightunsigned(CAST(conv(substr(sha
 both("q_tile_bucket", """SELECT CAST(floor(lon / 5) * 5 AS BIGINT) AS w, CAST(floor(lat / 5) * 5 AS BIGINT) AS s, count(*) AS n FROM (SELECT -5.0 + (s_suppkey * 37 % 700) / 100.0 AS lon, 50.0 + (s_suppkey * 53 % 550) / 100.0 AS lat FROM {supplier}) x GROUP BY 1, 2""")
 both("q_council_union", """SELECT k, max(src) AS src FROM (SELECT c_custkey AS k, 'a' AS src FROM {customer} UNION ALL SELECT s_suppkey, 'b' FROM {supplier}) x GROUP BY k""")
 
+# Grouped summaries, bands and gates
+both("q_validity", """SELECT o_custkey, CAST(CAST(min(o_orderdate) AS DATE) AS STRING) AS start_on, CASE WHEN max(CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END) = 0 THEN CAST(CAST(max(o_orderdate) AS DATE) AS STRING) END AS end_on FROM {orders} GROUP BY o_custkey""")
+both("q_authority_rows", """SELECT n_nationkey, coalesce(c.n, 0) AS records FROM {nation} LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM {customer} WHERE c_acctbal > 9000 GROUP BY c_nationkey) c ON n_nationkey = c.c_nationkey""")
+both("q_length_totals", """SELECT r_name, n_name, CASE WHEN count(*) = count(km) THEN round(sum(km), 2) END AS km FROM (SELECT r_name, n_name, CASE WHEN c_custkey % 40 <> 0 THEN c_acctbal END AS km FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey) x GROUP BY ROLLUP (r_name, n_name)""")
+both("q_coverage", """SELECT l_suppkey, round(100 * avg(CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE)), 3) AS matched_pct FROM {lineitem} GROUP BY l_suppkey""")
+both("q_band_position", """SELECT c_nationkey, """ + ", ".join(f"round(100 * avg(CAST(CASE WHEN c_acctbal < {edge} THEN 1 ELSE 0 END AS DOUBLE)), 3) AS below_{edge}" for edge in (1000, 5000, 9000)) + """ FROM {customer} GROUP BY c_nationkey""")
+both("q_record_guard", """SELECT k, was, now, CASE WHEN now = 0 THEN 'refuse' WHEN was >= 6 AND 3 * now < was THEN 'refuse' ELSE 'pass' END AS verdict FROM (SELECT o_custkey % 50 AS k, count(*) AS was, sum(CASE WHEN o_orderkey % (2 + o_custkey % 3) = 0 THEN 1 ELSE 0 END) AS now FROM {orders} GROUP BY 1) x""")
+both("q_count_judge", """SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.n IS NULL THEN 'new' WHEN b.n IS NULL THEN 'gone' WHEN b.n < 0.6 * a.n THEN 'fell' WHEN b.n > 2 * a.n THEN 'rose' ELSE 'pass' END AS verdict FROM (SELECT l_suppkey AS k, count(*) AS n FROM {lineitem} WHERE l_linenumber <= 2 GROUP BY 1) a FULL JOIN (SELECT l_suppkey AS k, count(*) AS n FROM {lineitem} WHERE l_linenumber >= 3 GROUP BY 1) b ON a.k = b.k""")
+# Order within a group
+both("q_settle_ids", """SELECT o_custkey, o_orderkey, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1 THEN CAST(o_custkey AS STRING) ELSE concat(CAST(o_custkey AS STRING), '-', substr(md5(CAST(o_orderkey AS STRING)), 1, 8)) END AS id FROM {orders}""")
+both("q_stride_sample", """SELECT s_suppkey FROM (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS n FROM {supplier}) x WHERE (n - 1) % 3 = 0""")
+both("q_smooth", """SELECT l_orderkey, l_linenumber, round(CASE WHEN a IS NULL OR c IS NULL THEN h ELSE (a + 2 * h + c) / 4 END, 4) AS h FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS h, CAST(lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS DOUBLE) AS a, CAST(lead(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS DOUBLE) AS c FROM {lineitem}) x""")
+both("q_steepest_run", """SELECT a.l_orderkey, round(max(abs(CAST(b.l_quantity AS DOUBLE) - a.l_quantity) / (b.l_linenumber - a.l_linenumber)), 4) AS pct FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber BETWEEN a.l_linenumber + 2 AND a.l_linenumber + 3 GROUP BY a.l_orderkey""")
+both("q_keep_dates", """SELECT n.o_orderkey, CASE WHEN p.o_orderkey IS NOT NULL AND p.price IS NOT DISTINCT FROM n.price THEN p.day ELSE '2026-01-01' END AS day FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price FROM {orders}) n LEFT JOIN (SELECT o_orderkey, o_totalprice AS price, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day FROM {orders} WHERE o_orderkey % 13 <> 0) p ON n.o_orderkey = p.o_orderkey""")
+both("q_pack_by_budget", """SELECT n_nationkey, CAST(floor((run - total) / 20000) AS BIGINT) AS pack FROM (SELECT n_nationkey, total, sum(total) OVER (ORDER BY n_nationkey ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT n_nationkey, count(*) AS total FROM {nation} JOIN {customer} ON c_nationkey = n_nationkey GROUP BY n_nationkey) g) x""")
+
 # Snapshots
 _LATEST = "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END, event_id DESC) AS n FROM events) x WHERE n = 1"
 
