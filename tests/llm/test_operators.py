@@ -209,6 +209,15 @@ def test_passages(spark, docs, rows):
     assert passage_chains.fuzzy_passages(docs.limit(0)).count() == 0
 
 
+def test_passages_go_on_after_a_larger_difference(spark):
+    copy, shared, line = words(400, 50).split(), words(200, 51), words(20, 52)
+    texts = [" ".join(copy), " ".join(copy[:200] + words(12, 53).split() + copy[200:])]
+    texts += [f"{words(30, 60 + i)} {line} {words(12, 70 + i)} {shared} {words(30, 80 + i)}" for i in range(2)]
+    got = passage_chains.fuzzy_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    spans = {(r["doc_id"], r["start_word"], r["end_word"], r["partner_start"], r["partner_end"], r["equal_words"]) for r in got}
+    assert spans == {(1, 0, 200, 0, 200, 200), (1, 212, 412, 200, 400, 200), (3, 62, 262, 62, 262, 200)}
+
+
 def test_best_chain():
     pos, ppos = np.arange(0, 100, 10), np.array([5, 15, 400, 25, 35, 45, 3, 55, 65, 75])
     assert passage_chains.chains(pos, ppos)[0] == (0, 96, 5, 81)
