@@ -218,6 +218,17 @@ def test_passages_go_on_after_a_larger_difference(spark):
     assert spans == {(1, 0, 200, 0, 200, 200), (1, 212, 412, 200, 400, 200), (3, 62, 262, 62, 262, 200)}
 
 
+def test_passages_of_common_lines(spark):
+    lines, g = [words(22, 4000 + i) for i in range(40)], random.Random(9)
+    common = [" ".join(g.choice(lines) + " " + words(8, 10_000 + 40 * i + k) for k in range(8)) for i in range(120)]
+    shared = [" ".join(g.sample(lines, 3)) for _ in range(6)]
+    held = [[f"{words(30, 90_000 + 2 * k + i)} {x} {words(30, 95_000 + 2 * k + i)}" for k, x in enumerate(shared)] for i in range(2)]
+    texts = [*common[:60], *held[0], *common[60:], *held[1]]  # between the two that share a passage, others have each of its lines
+    got = passage_chains.fuzzy_passages(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {(r["doc_id"], r["partner_id"]) for r in got if r["start_word"] <= 30 and r["end_word"] >= 96}
+    assert {(126 + k, 60 + k) for k in range(6)} <= found
+
+
 def test_best_chain():
     pos, ppos = np.arange(0, 100, 10), np.array([5, 15, 400, 25, 35, 45, 3, 55, 65, 75])
     assert passage_chains.chains(pos, ppos)[0] == (0, 96, 5, 81)
