@@ -22,8 +22,8 @@ def one_of_each_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The least doc_id of each group that links lead through, at the join's own three words and 90 percent."""
-    return jaccard_join.one_of_each_group(docs)
+    """The least doc_id of each group that links lead through, at five words and 80 percent."""
+    return jaccard_join.one_of_each_group(docs, shingle=5, percent=80)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -234,6 +234,17 @@ def test_best_chain():
     assert passage_chains.chains(pos, ppos)[0] == (0, 96, 5, 81)
 
 
+def test_pipeline_near_duplicates(spark):
+    import corpus_pipeline
+
+    base = words(120, 31).split()
+    near = [*base[:40], "new", "pair", *base[42:80], "other", "two", *base[82:]]
+    alike = [len(x & y) / len(x | y) for x, y in ([jaccard_join.shingle_set(" ".join(w), k) for w in (base, near)] for k in (3, 5))]
+    assert alike[0] < 0.9 and alike[1] >= 0.8
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, words(120, 32))], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.one_of_each_group(spark, docs, "").collect()} == {1, 3}
+
+
 def test_pipeline(spark):
     import corpus_pipeline
 
