@@ -119,6 +119,18 @@ def test_leaks(spark):
     assert [r["doc_id"] for r in decontaminate.clean_documents(docs, items).orderBy("doc_id").collect()][:1] == [2]
 
 
+def test_leaks_judges_each_occurrence(spark):
+    item = "the train leaves at 5 and the slow bus leaves town after 9 on every other working day of spring"
+    boxes = "a shop sells 6 boxes and some 6 apples each morning while other people queue outside with bags"
+    pears = boxes.replace("6", "5", 1).replace("6", "9").replace("apples", "pears").replace("shop", "stall")
+    texts = [f"{item} so {item.replace('9', '14')}", f"{item.replace('5', '3')} or {item.replace('9', '14')}", boxes.replace("6", "4", 1).replace("6", "7"), pears.replace("5", "8").replace("9", "8"), words(60, 4)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, boxes), (3, pears)], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.leaks(docs, items).collect()}
+    assert {(0, 1), (1, 1), (2, 2), (3, 3)} <= set(got) and 4 not in {d for d, _ in got}
+    assert [got[k]["changed"] for k in ((0, 1), (1, 1), (2, 2), (3, 3))] == [0, 1, 2, 2]
+
+
 def test_preferences(spark):
     turns = [(1, s, k, r, t) for s, more in ((0, "yes"), (1, "no")) for k, r, t in ((0, "user", "hi <|x"), (1, "assistant", None), (2, "user", "q"), (3, "assistant", more))]
     turns += [(2, 0, 0, None, "alone"), (3, 0, 0, "user", "a"), (3, 1, 0, "user", "a")]

@@ -2,7 +2,7 @@
 
 Every word that is a number, a unit or a name inside a sentence becomes a typed placeholder. Windows of template
 words are hashed and joined with the windows of the benchmark items, so a question whose numbers or names were
-changed still meets its item. The values found in the slots must then map one to one onto the item's values.
+changed still meets its item. Hits are judged by occurrence: in each, every slot must have one value.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from ._store import WORD, table
 
 #: Words of a window, literal words it must have, windows that prove a leak, and the share of an item's windows that does for short items.
 WINDOW, LITERALS, ENOUGH, PART = 8, 4, 6, 0.5
+#: Words that a copy's words may be out of step by to count as one occurrence, whichever way they fall.
+NEAR = 8
 #: Most benchmark windows that are broadcast; a larger benchmark is joined by an ordinary shuffle.
 MAX_BROADCAST = 2_000_000
 #: Placeholders start with a character that no word of a text keeps.
@@ -44,24 +46,23 @@ def _is_slot(word: Column) -> Column:
     return F.startswith(word, F.lit(MARK))
 
 
-def _windows(template: Column, raw: Column, slotted: Column, sizes: list[int]) -> Column:
-    """pos, hash and, where the window has placeholders, the words that stood there."""
+def _windows(template: Column, raw: Column, sizes: list[int]) -> Column:
+    """pos, hash and the words themselves."""
     def of(size: int) -> Column:
         def window(i: Column) -> Column:
-            part = F.slice(template, i, size)
-            slots = F.filter(F.zip_with(part, F.slice(raw, i, size), lambda t, w: F.when(_is_slot(t), w)), lambda w: w.isNotNull())
-            return F.struct(i.alias("pos"), F.xxhash64(part).alias("h"), F.when(slotted, slots).alias("slots"))
-        return F.when(F.size(template) >= size, F.transform(F.sequence(F.lit(1), F.size(template) - size + 1), window)).otherwise(F.array().cast("array<struct<pos:int,h:bigint,slots:array<string>>>"))
+            return F.struct(i.alias("pos"), F.xxhash64(F.slice(template, i, size)).alias("h"), F.slice(raw, i, size).alias("words"))
+        return F.when(F.size(template) >= size, F.transform(F.sequence(F.lit(1), F.size(template) - size + 1), window)).otherwise(F.array().cast("array<struct<pos:int,h:bigint,words:array<string>>>"))
     return F.concat(*[of(s) for s in sizes])
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """item_id, h, ipos, slots, n_windows; an item shorter than a window is one window of its own length."""
+    """item_id, h, ipos, slots (offset and item value), n_windows; an item shorter than a window is one window of its own length."""
     forms = [items.select("item_id", _words(_template(F.col("text"), names)).alias("tpl"), _words(_plain(F.col("text"))).alias("raw")) for names in (True, False)]
     both = forms[0].unionByName(forms[1]).filter(F.size("tpl") >= literals).withColumn("w", F.least(F.size("tpl"), F.lit(window)))
     spans = both.select("item_id", "tpl", "raw", "w", F.explode(F.sequence(F.lit(1), F.size("tpl") - F.col("w") + 1)).alias("ipos"))
     part = F.slice("tpl", F.col("ipos"), F.col("w"))
-    slots = F.filter(F.zip_with(part, F.slice("raw", F.col("ipos"), F.col("w")), lambda t, x: F.when(_is_slot(t), x)), lambda x: x.isNotNull())
+    pair = F.zip_with(part, F.slice("raw", F.col("ipos"), F.col("w")), lambda t, x: F.struct(t.alias("t"), x.alias("x")))
+    slots = F.filter(F.transform(pair, lambda p, k: F.struct(k.alias("k"), p["t"].alias("t"), p["x"].alias("i"))), lambda p: _is_slot(p["t"]))
     return spans.filter(F.size(F.filter(part, lambda x: ~_is_slot(x))) >= literals).select(
         "item_id", "w", F.xxhash64(part).alias("h"), "ipos", slots.alias("islots"), (F.size("tpl") - F.col("w") + 1).alias("n_windows")).distinct()
 
@@ -69,28 +70,35 @@ def item_windows(items: DataFrame, window: int = WINDOW, literals: int = LITERAL
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int = LITERALS, enough: int = ENOUGH, part: float = PART, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
     """One row per document and benchmark item that it leaks.
 
-    doc_id, item_id, windows_hit, n_windows, slots (distinct item value and document value pairs), changed (those
-    that differ), consistent (values map one to one). A leak has at least `enough` of the item's windows, or for
-    short items the share `part` of them, and consistent slots. Null texts have no windows. Items of fewer than
-    `literals` literal words in every window match nothing. Rows that repeat a doc_id count as one document.
-    Either table empty: no rows. Other columns are ignored, whatever their names.
+    doc_id, item_id, windows_hit, n_windows, slots (places of the item that held a number, unit or name), changed
+    (those whose value differs), consistent (each place has one value), all of the occurrence with the most windows.
+    An occurrence is the hits at one distance of document place and item place; for copies with words put in or
+    left out also those at near distances, and all of a document, if they agree on every place's value. A leak has
+    an occurrence with at least `enough` of the item's windows, or for short items the share `part` of them. Null
+    texts have no windows. Items of fewer than `literals` literal words in every window match nothing. Rows that
+    repeat a doc_id count as one document. Either table empty: no rows. Other columns are ignored, whatever their names.
     """
     known = item_windows(items.select("item_id", "text"), window, literals)
     n = known.count()
     sizes = sorted(r[0] for r in known.select("w").distinct().collect())  # at most `window` values
-    tpl = _template(F.col("text"))
-    texts = docs.select("doc_id", _words(tpl).alias("tpl"), _words(_plain(F.col("text"))).alias("raw"), F.contains(tpl, F.lit(MARK)).alias("slotted"))
-    rows = texts.select("doc_id", F.explode(_windows(F.col("tpl"), F.col("raw"), F.col("slotted"), sizes or [window])).alias("x")).select("doc_id", "x.h", "x.slots")
+    texts = docs.select("doc_id", _words(_template(F.col("text"))).alias("tpl"), _words(_plain(F.col("text"))).alias("raw"))
+    rows = texts.select("doc_id", F.explode(_windows(F.col("tpl"), F.col("raw"), sizes or [window])).alias("x")).select("doc_id", "x.pos", "x.h", "x.words")
     hits = rows.join(F.broadcast(known) if n <= max_broadcast else known, "h")
-    # Islots and slots have one length, as equal templates have equal slots (up to a hash collision: then the shorter).
-    pairs = F.when(F.col("slots").isNotNull(), F.transform(F.arrays_zip("islots", "slots"), lambda p: F.struct(p["islots"].alias("i"), p["slots"].alias("d"))))
-    one = hits.select("doc_id", "item_id", "ipos", "n_windows", pairs.alias("pairs")).groupBy("doc_id", "item_id").agg(
-        F.collect_set("ipos").alias("at"), F.max("n_windows").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"))
-    of = lambda name: F.size(F.array_distinct(F.transform("pairs", lambda p: p[name])))
+    # Equal templates have equal slots (up to a hash collision: then a place without a word).
+    values = F.transform("islots", lambda p: F.struct((F.col("ipos") + p["k"]).alias("at"), p["i"].alias("i"), F.get("words", p["k"]).alias("d")))
+    shift = F.col("pos") - F.col("ipos")
+    near = lambda by: F.floor((shift + by) / F.lit(2 * NEAR)).cast("int")
+    spots = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("spot")) for k, v in enumerate((shift, near(0), near(NEAR), F.lit(0)))])
+    one = hits.select("doc_id", "item_id", "ipos", "n_windows", values.alias("values"), F.explode(spots).alias("o")).groupBy("doc_id", "item_id", "o").agg(
+        F.collect_set("ipos").alias("at"), F.max("n_windows").alias("n_windows"), F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"))
+    places = F.size(F.array_distinct(F.transform("values", lambda p: p["at"])))
     judged = one.select(
-        "doc_id", "item_id", F.size("at").alias("windows_hit"), "n_windows", F.size("pairs").alias("slots"),
-        F.size(F.filter("pairs", lambda p: p["i"] != p["d"])).alias("changed"), ((of("i") == F.size("pairs")) & (of("d") == F.size("pairs"))).alias("consistent"))
-    return judged.filter(F.col("consistent") & (F.col("windows_hit") >= F.least(F.lit(enough), F.ceil(F.col("n_windows") * F.lit(part)))))
+        "doc_id", "item_id", "o", F.size("at").alias("windows_hit"), "n_windows", F.size("values").alias("slots"),
+        F.size(F.filter("values", lambda p: ~p["i"].eqNullSafe(p["d"]))).alias("changed"), (places == F.size("values")).alias("consistent"))
+    # At one distance a place has one value, unless rows repeat a doc_id.
+    found = judged.filter((F.col("consistent") | (F.col("o.kind") == 0)) & (F.col("windows_hit") >= F.least(F.lit(enough), F.ceil(F.col("n_windows") * F.lit(part)))))
+    best = F.struct("windows_hit", (-F.col("changed")).alias("same"), "o", "n_windows", "slots", "changed", "consistent")
+    return found.groupBy("doc_id", "item_id").agg(F.max(best).alias("b")).select("doc_id", "item_id", *[f"b.{c}" for c in ("windows_hit", "n_windows", "slots", "changed", "consistent")])
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
