@@ -131,6 +131,14 @@ def test_leaks_judges_each_occurrence(spark):
     assert [got[k]["changed"] for k in ((0, 1), (1, 1), (2, 2), (3, 3))] == [0, 1, 2, 2]
 
 
+def test_leaks_in_any_case(spark):
+    item = "on market days, traders, carters, brewers and two smiths, carry 40 kg, then 5kg of iron, salt, wool over the hill"
+    texts = [item.upper(), item.title().replace(" ", "  "), words(60, 5).upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")))
+    assert set(got) == {0, 1} and all(r["changed"] == 0 and r["windows_hit"] == r["n_windows"] for r in got.values())
+
+
 def test_preferences(spark):
     turns = [(1, s, k, r, t) for s, more in ((0, "yes"), (1, "no")) for k, r, t in ((0, "user", "hi <|x"), (1, "assistant", None), (2, "user", "q"), (3, "assistant", more))]
     turns += [(2, 0, 0, None, "alone"), (3, 0, 0, "user", "a"), (3, 1, 0, "user", "a")]

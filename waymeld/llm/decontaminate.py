@@ -39,19 +39,23 @@ def _template(text: Column, names: bool = True) -> Column:
     raw = F.replace(F.coalesce(text, F.lit("")), F.lit(MARK), F.lit(""))
     if names:
         raw = F.regexp_replace(raw, _NAME, MARK + "p")
-    return F.lower(F.regexp_replace(F.regexp_replace(raw, _NUMBER, MARK + "n"), _UNIT, MARK + "u"))
+    # Lower-cased before numbers and units are looked for, so that without names letter case changes nothing.
+    return F.regexp_replace(F.regexp_replace(F.lower(raw), _NUMBER, MARK + "n"), _UNIT, MARK + "u")
 
 
 def _is_slot(word: Column) -> Column:
     return F.startswith(word, F.lit(MARK))
 
 
-def _windows(template: Column, raw: Column, sizes: list[int]) -> Column:
-    """pos, hash and the words themselves."""
+def _windows(named: Column, template: Column, raw: Column, sizes: list[int]) -> Column:
+    """pos, hash and the words themselves, with names as placeholders and, where that differs, without."""
     def of(size: int) -> Column:
-        def window(i: Column) -> Column:
-            return F.struct(i.alias("pos"), F.xxhash64(F.slice(template, i, size)).alias("h"), F.slice(raw, i, size).alias("words"))
-        return F.when(F.size(template) >= size, F.transform(F.sequence(F.lit(1), F.size(template) - size + 1), window)).otherwise(F.array().cast("array<struct<pos:int,h:bigint,words:array<string>>>"))
+        last = F.size(raw) - size + 1
+        window = lambda form: lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(form, i, size)).alias("h"), F.slice(raw, i, size).alias("words"))
+        names = F.filter(F.sequence(F.lit(1), F.size(raw)), lambda i: F.get(named, i - 1) == F.lit(MARK + "p"))
+        around = F.array_distinct(F.flatten(F.transform(names, lambda i: F.sequence(F.greatest(F.lit(1), i - (size - 1)), F.least(i, last)))))
+        every = F.concat(F.transform(F.sequence(F.lit(1), last), window(named)), F.transform(around, window(template)))
+        return F.when(last >= 1, every).otherwise(F.array().cast("array<struct<pos:int,h:bigint,words:array<string>>>"))
     return F.concat(*[of(s) for s in sizes])
 
 
@@ -81,8 +85,8 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int
     known = item_windows(items.select("item_id", "text"), window, literals)
     n = known.count()
     sizes = sorted(r[0] for r in known.select("w").distinct().collect())  # at most `window` values
-    texts = docs.select("doc_id", _words(_template(F.col("text"))).alias("tpl"), _words(_plain(F.col("text"))).alias("raw"))
-    rows = texts.select("doc_id", F.explode(_windows(F.col("tpl"), F.col("raw"), sizes or [window])).alias("x")).select("doc_id", "x.pos", "x.h", "x.words")
+    texts = docs.select("doc_id", *[_words(_template(F.col("text"), names)).alias(to) for names, to in ((True, "named"), (False, "tpl"))], _words(_plain(F.col("text"))).alias("raw"))
+    rows = texts.select("doc_id", F.explode(_windows(F.col("named"), F.col("tpl"), F.col("raw"), sizes or [window])).alias("x")).select("doc_id", "x.pos", "x.h", "x.words")
     hits = rows.join(F.broadcast(known) if n <= max_broadcast else known, "h")
     # Equal templates have equal slots (up to a hash collision: then a place without a word).
     values = F.transform("islots", lambda p: F.struct((F.col("ipos") + p["k"]).alias("at"), p["i"].alias("i"), F.get("words", p["k"]).alias("d")))
