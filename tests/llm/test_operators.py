@@ -139,6 +139,14 @@ def test_leaks_in_any_case(spark):
     assert set(got) == {0, 1} and all(r["changed"] == 0 and r["windows_hit"] == r["n_windows"] for r in got.values())
 
 
+def test_leaks_of_few_literal_words(spark):
+    item = "Sort the numbers 12 45 78 23 56 90 11 34 67 88 from least to greatest"
+    texts = ["first " + item + " now", item.replace("45", "46").replace("90", "91").replace("34", "35"), words(60, 6)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = by_id(decontaminate.leaks(docs, spark.createDataFrame([(1, item)], "item_id long, text string")))
+    assert set(got) == {0} and got[0]["windows_hit"] == got[0]["n_windows"]
+
+
 def test_preferences(spark):
     turns = [(1, s, k, r, t) for s, more in ((0, "yes"), (1, "no")) for k, r, t in ((0, "user", "hi <|x"), (1, "assistant", None), (2, "user", "q"), (3, "assistant", more))]
     turns += [(2, 0, 0, None, "alone"), (3, 0, 0, "user", "a"), (3, 1, 0, "user", "a")]

@@ -47,28 +47,39 @@ def _is_slot(word: Column) -> Column:
     return F.startswith(word, F.lit(MARK))
 
 
-def _windows(named: Column, template: Column, raw: Column, sizes: list[int]) -> Column:
-    """pos, hash and the words themselves, with names as placeholders and, where that differs, without."""
+def _windows(named: Column, template: Column, raw: Column, sizes: list[int], bare: list[int], literals: int) -> Column:
+    """pos, hash and the words themselves, with names as placeholders and, where that differs, without.
+
+    Of the sizes in `bare` also those with fewer than `literals` literal words, as their plain words.
+    """
     def of(size: int) -> Column:
         last = F.size(raw) - size + 1
         window = lambda form: lambda i: F.struct(i.alias("pos"), F.xxhash64(F.slice(form, i, size)).alias("h"), F.slice(raw, i, size).alias("words"))
         names = F.filter(F.sequence(F.lit(1), F.size(raw)), lambda i: F.get(named, i - 1) == F.lit(MARK + "p"))
         around = F.array_distinct(F.flatten(F.transform(names, lambda i: F.sequence(F.greatest(F.lit(1), i - (size - 1)), F.least(i, last)))))
-        every = F.concat(F.transform(F.sequence(F.lit(1), last), window(named)), F.transform(around, window(template)))
+        poor = lambda i: F.size(F.filter(F.slice(template, i, size), lambda x: ~_is_slot(x))) < literals
+        plain = [F.transform(F.filter(F.sequence(F.lit(1), last), poor), window(raw))] if size in bare else []
+        every = F.concat(F.transform(F.sequence(F.lit(1), last), window(named)), F.transform(around, window(template)), *plain)
         return F.when(last >= 1, every).otherwise(F.array().cast("array<struct<pos:int,h:bigint,words:array<string>>>"))
     return F.concat(*[of(s) for s in sizes])
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, literals: int = LITERALS) -> DataFrame:
-    """item_id, h, ipos, slots (offset and item value), n_windows; an item shorter than a window is one window of its own length."""
-    forms = [items.select("item_id", _words(_template(F.col("text"), names)).alias("tpl"), _words(_plain(F.col("text"))).alias("raw")) for names in (True, False)]
+    """item_id, w, plain, h, ipos, islots (offset and item value), n_windows; an item shorter than a window is one window of its own length.
+
+    A window with fewer than `literals` literal words, names being such, is plain: it has no slots and meets only its very words.
+    """
+    forms = [items.select("item_id", F.lit(names).alias("names"), _words(_template(F.col("text"), names)).alias("tpl"), _words(_plain(F.col("text"))).alias("raw")) for names in (True, False)]
     both = forms[0].unionByName(forms[1]).filter(F.size("tpl") >= literals).withColumn("w", F.least(F.size("tpl"), F.lit(window)))
-    spans = both.select("item_id", "tpl", "raw", "w", F.explode(F.sequence(F.lit(1), F.size("tpl") - F.col("w") + 1)).alias("ipos"))
+    spans = both.select("item_id", "names", "tpl", "raw", "w", F.explode(F.sequence(F.lit(1), F.size("tpl") - F.col("w") + 1)).alias("ipos"))
     part = F.slice("tpl", F.col("ipos"), F.col("w"))
     pair = F.zip_with(part, F.slice("raw", F.col("ipos"), F.col("w")), lambda t, x: F.struct(t.alias("t"), x.alias("x")))
     slots = F.filter(F.transform(pair, lambda p, k: F.struct(k.alias("k"), p["t"].alias("t"), p["x"].alias("i"))), lambda p: _is_slot(p["t"]))
-    return spans.filter(F.size(F.filter(part, lambda x: ~_is_slot(x))) >= literals).select(
-        "item_id", "w", F.xxhash64(part).alias("h"), "ipos", slots.alias("islots"), (F.size("tpl") - F.col("w") + 1).alias("n_windows")).distinct()
+    poor = F.size(F.filter(part, lambda x: ~_is_slot(x))) < literals
+    known = spans.filter(~poor | ~F.col("names")).withColumn("plain", poor)
+    return known.select(
+        "item_id", "w", "plain", F.xxhash64(F.when(F.col("plain"), F.slice("raw", F.col("ipos"), F.col("w"))).otherwise(part)).alias("h"), "ipos",
+        F.filter(slots, lambda p: ~F.col("plain")).alias("islots"), (F.size("tpl") - F.col("w") + 1).alias("n_windows")).distinct()
 
 
 def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int = LITERALS, enough: int = ENOUGH, part: float = PART, max_broadcast: int = MAX_BROADCAST) -> DataFrame:
@@ -79,14 +90,15 @@ def leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, literals: int
     An occurrence is the hits at one distance of document place and item place; for copies with words put in or
     left out also those at near distances, and all of a document, if they agree on every place's value. A leak has
     an occurrence with at least `enough` of the item's windows, or for short items the share `part` of them. Null
-    texts have no windows. Items of fewer than `literals` literal words in every window match nothing. Rows that
-    repeat a doc_id count as one document. Either table empty: no rows. Other columns are ignored, whatever their names.
+    texts have no windows. Items of fewer than `literals` words match nothing. Rows that repeat a doc_id count as
+    one document. Either table empty: no rows. Other columns are ignored, whatever their names.
     """
     known = item_windows(items.select("item_id", "text"), window, literals)
     n = known.count()
-    sizes = sorted(r[0] for r in known.select("w").distinct().collect())  # at most `window` values
+    found = known.select("w", "plain").distinct().collect()  # at most 2 * `window` rows
+    sizes, bare = sorted({r[0] for r in found}), [r[0] for r in found if r[1]]
     texts = docs.select("doc_id", *[_words(_template(F.col("text"), names)).alias(to) for names, to in ((True, "named"), (False, "tpl"))], _words(_plain(F.col("text"))).alias("raw"))
-    rows = texts.select("doc_id", F.explode(_windows(F.col("named"), F.col("tpl"), F.col("raw"), sizes or [window])).alias("x")).select("doc_id", "x.pos", "x.h", "x.words")
+    rows = texts.select("doc_id", F.explode(_windows(F.col("named"), F.col("tpl"), F.col("raw"), sizes or [window], bare, literals)).alias("x")).select("doc_id", "x.pos", "x.h", "x.words")
     hits = rows.join(F.broadcast(known) if n <= max_broadcast else known, "h")
     # Equal templates have equal slots (up to a hash collision: then a place without a word).
     values = F.transform("islots", lambda p: F.struct((F.col("ipos") + p["k"]).alias("at"), p["i"].alias("i"), F.get("words", p["k"]).alias("d")))
