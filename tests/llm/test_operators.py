@@ -49,6 +49,12 @@ def test_exact_dedup(spark, docs, rows):
     assert exact_dedup.kept_documents(docs).columns == docs.columns
 
 
+def test_kept_documents_of_repeated_and_null_ids(spark):
+    rows = [(1, "copy"), (2, "copy"), (1, "alone"), (None, "copy"), (None, "none has an id"), (3, None), (4, "")]
+    got = exact_dedup.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == {(2, "copy"), (1, "alone"), (None, "none has an id"), (4, "")} and len(got) == 4
+
+
 def test_subset_sum_and_plan():
     g = random.Random(1)
     for _ in range(60):
@@ -100,6 +106,14 @@ def test_jaccard_groups(spark, docs, rows, shingle, percent, block):
     assert jaccard_join.jaccard_groups(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_group_of_repeated_and_null_ids(spark):
+    base, other = words(80, 20), words(80, 21)
+    near = base.replace(base.split()[0], "changed", 1)
+    rows = [(1, base), (2, near), (2, other), (None, near + " end"), (None, words(80, 22)), (3, None)]
+    got = jaccard_join.one_of_each_group(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in got} == {rows[0], rows[2], rows[4], rows[5]} and len(got) == 4
+
+
 def test_components(spark):
     path = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7), (None, 3)]
     got = {r["id"]: r["component"] for r in components.components(spark.createDataFrame(path, "a long, b long")).collect()}

@@ -42,9 +42,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """docs without the copies that exact_dedup drops."""
-    gone = exact_dedup(docs, **options).filter(~F.col("kept")).select("doc_id")
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """docs without the copies that exact_dedup drops: of equal texts only the rows with the largest doc_id stay.
+
+    Rows go by doc_id and text, so where a doc_id repeats, its row with another text stays, and a null doc_id goes
+    where its text has a row with one. Rows with the same doc_id and text all stay.
+    """
+    gone = exact_dedup(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), "text_sha256").distinct()
+    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
+    return docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(F.col("gone_id")) & (digest == F.col("text_sha256")), "left_anti").select(*docs.columns)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

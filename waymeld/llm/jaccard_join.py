@@ -226,9 +226,21 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs with the least doc_id of every group of near duplicates; rows without doc_id stay."""
-    gone = jaccard_groups(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id")
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    """docs with the least doc_id of every group of near duplicates.
+
+    Where a doc_id repeats or is null, rows are told apart by doc_id and text (a 64-bit hash of both): a row goes if
+    its own text's group has a lesser doc_id, a null one if there is any. Rows with the same doc_id and text all stay.
+    """
+    if docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").isEmpty():
+        gone = jaccard_groups(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id")
+        return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+    node = F.xxhash64(docs["doc_id"].isNull(), docs["doc_id"], docs["text"].isNull(), docs["text"])
+    rows = docs.select(node.alias("node"), docs["doc_id"].alias("own_id"), docs["text"])
+    groups = written(jaccard_groups(rows.select(F.col("node").alias("doc_id"), "text"), shingle, percent).select(F.col("doc_id").alias("node"), F.col("component_id").alias("c")).distinct())
+    members = written(rows.select("node", "own_id").distinct().join(groups, "node"))
+    best = members.groupBy("c").agg(F.min(F.struct(F.col("own_id").isNull(), "own_id", "node"))["node"].alias("best"))
+    gone = members.join(best, "c").filter("node <> best").select(F.col("node").alias("gone"))
+    return docs.join(gone.hint("merge"), node == F.col("gone"), "left_anti").select(*docs.columns)
 
 
 def op4_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
