@@ -41,6 +41,16 @@ def dropped(*tables: DataFrame) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
+#: Most rows of keys that are broadcast, counted before; with keys of 100 bytes some 50 MB.
+MAX_KEYS = 300_000
+
+
+def matching(rows: DataFrame, keys: DataFrame, on: str, how: str, counted: DataFrame | None = None) -> DataFrame:
+    """Semi or anti join with a written table of keys: broadcast when their count allows, so that rows are not shuffled, else by shuffle."""
+    few = (keys if counted is None else counted).count() <= MAX_KEYS
+    return rows.join(F.broadcast(keys) if few else keys.hint("merge"), on, how)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches small enough that a batch of very long texts fits a Python worker."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._store import table, written
+from ._store import matching, table, written
 
 #: Most digests that are broadcast, counters of the sketch, and the least count worth a broadcast row.
 MAX_HOT, TRACKED, MIN_HOT = 1000, 4096, 32
@@ -47,9 +47,10 @@ def kept_documents(docs: DataFrame, **options) -> DataFrame:
     Rows go by doc_id and text, so where a doc_id repeats, its row with another text stays, and a null doc_id goes
     where its text has a row with one. Rows with the same doc_id and text all stay.
     """
-    gone = exact_dedup(docs, **options).filter(~F.col("kept")).select(F.col("doc_id").alias("gone_id"), "text_sha256").distinct()
-    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    return docs.join(gone.hint("merge"), docs["doc_id"].eqNullSafe(F.col("gone_id")) & (digest == F.col("text_sha256")), "left_anti").select(*docs.columns)
+    row = lambda digest: F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), digest)
+    gone = written(exact_dedup(docs, **options).filter(~F.col("kept")).select(row(F.col("text_sha256")).alias("_row")).distinct())
+    own = row(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
+    return matching(docs.withColumn("_row", own), gone, "_row", "left_anti").select(*docs.columns)
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
