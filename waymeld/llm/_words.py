@@ -91,3 +91,19 @@ def shingle_hashes(h: np.ndarray, n: int) -> np.ndarray:
     for i in range(k):
         out = mix(out * np.uint64(3) + h[i : len(h) - k + 1 + i])
     return out
+
+
+def groups(batches: Iterator[pa.RecordBatch], names: tuple) -> Iterator[tuple[tuple, dict]]:
+    """Runs of equal keys from batches sorted by them, also across batches."""
+    held = None
+    for b in batches:
+        t = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+        if not len(t):
+            continue
+        keys = np.stack([t.column(c).to_numpy() for c in names])
+        cuts = [0, *(np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1).tolist()]
+        for s, e in zip(cuts, cuts[1:]):
+            yield tuple(keys[:, s].tolist()), t.slice(s, e - s)
+        held = t.slice(cuts[-1])
+    if held is not None and len(held):
+        yield tuple(held.column(c)[0].as_py() for c in names), held

@@ -4,12 +4,15 @@ Sets fall into size bands in which any two sets that link differ in at most H sh
 hashed into H + 1 segments, so two linked sets agree on a whole segment, whose order-free hash is the key of a
 bucket. Segments of a shingle or none are shared by chance; a set leaves out such costly segments and looks as
 many of a few reserve segments up with one difference allowed (their one-deletion neighbourhoods are indexed),
-which keeps the sum that the pigeonhole needs. Every candidate is verified on the words themselves.
+which keeps the sum that the pigeonhole needs. Candidates are first held against each other by odd sketches: a bit
+per hashed shingle, flipped by each shingle, so sets that differ in D shingles differ in D bits at most. What the
+sketches leave is verified on the words themselves.
 
 Equal sets are one set from the start. In a bucket, all sets are held against one centre, so a group of n near
-copies costs n pairs. Only buckets that still hold sets of different components are then compared in full: their
-sets meet block by block inside a task that returns a spanning forest of links. No link between different texts
-is lost and no pairs of a whole group are emitted.
+copies costs n pairs. Only buckets that still hold sets of different components are then compared in full, by
+sketches, block by block; sets that may link across components form clusters, whose words meet block by block
+inside a task that returns a spanning forest of links. No link between different texts is lost and no pairs of a
+whole group are emitted.
 """
 
 from __future__ import annotations
@@ -24,16 +27,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ._store import dropped, freed, small_batches, table, written
-from ._words import mix, pieces, shingle_hashes, words
+from ._store import dropped, freed, matching, small_batches, table, written
+from ._words import groups, mix, pieces, shingle_hashes, words
 from .components import components
 
 #: Words of a shingle, least similarity in percent, most shingles of a segment that is costly to look up.
 SHINGLE, PERCENT, COSTLY = 3, 90, 1
 #: Roles of a set in a bucket: there to be found only, looking up only, both.
 HOLD, LOOK, BOTH = 0, 1, 2
-#: Sets of a block; the sets of a cluster are compared block against block.
-BLOCK = 512
+#: Sets of a block; the sets of a cluster are compared block against block. Sketches of a block, and partners that share one copy of a text.
+BLOCK, SKETCHES, FAN = 512, 2048, 256
 
 
 def bands(upto: int, percent: int) -> np.ndarray:
@@ -73,22 +76,43 @@ def segment_keys(shingles: np.ndarray, band: int, most: int, own: bool, percent:
     return np.concatenate([exact, around]), np.concatenate([np.where(seen, BOTH, HOLD), np.where(looks, BOTH, HOLD)]).astype(np.int8)
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """As many bits as there are shingles, up to the next power of two (64 at least); a bit says if its shingles are odd in number."""
+    bits = max(64, 1 << max(0, len(shingles) - 1).bit_length())
+    at = (mix(shingles ^ np.uint64(0x0DD5EE7)) % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=bits).astype(np.uint8) & 1).view(np.uint64)
+
+
+def folded(sketches: list[bytes], longs: int) -> np.ndarray:
+    """Sketches as rows of `longs` 64-bit words; longer ones are folded, which keeps the bound."""
+    out = np.zeros((len(sketches), longs), dtype=np.uint64)
+    for i, b in enumerate(sketches):
+        out[i] = np.bitwise_xor.reduce(np.frombuffer(b, dtype=np.uint64).reshape(-1, longs), axis=0)
+    return out
+
+
+def may_link(differ: np.ndarray, sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of together `sizes` shingles that differ in at least `differ` can reach the similarity."""
+    return differ * (100 + percent) <= sizes * (100 - percent)
+
+
 def set_digests(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, n_shingles and a 128-bit order-free hash (d1, d2) of the set of every row."""
+    """doc_id, n_shingles, a 128-bit order-free hash (d1, d2) and the odd sketch of the set of every row."""
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
             w = words(batch.column("text"))
-            n, d = [], []
+            n, d, sketch = [], [], []
             for i in range(len(batch)):
                 s = np.unique(shingle_hashes(w.hash[w.rows[i] : w.rows[i + 1]], shingle))
                 n.append(len(s))
                 d.append((mix(s).sum(dtype=np.uint64), mix(s ^ np.uint64(0x5555)).sum(dtype=np.uint64)))
+                sketch.append(odd_sketch(s).tobytes())
             d = np.array(d, dtype=np.uint64).reshape(-1, 2).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1])], names=["doc_id", "n_shingles", "d1", "d2"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(sketch, pa.binary())], names=["doc_id", "n_shingles", "d1", "d2", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sketch binary")
 
 
 def keys(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -123,22 +147,85 @@ def shingle_set(text: str | None, shingle: int = SHINGLE) -> set:
     return set(zip(*[w[i:] for i in range(min(shingle, len(w)))])) if w else set()
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """Those pairs (a, b) whose sets reach the similarity, checked on their words."""
+def alike(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) whose odd sketches do not rule the similarity out. sketches: id, n, sketch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, sizes = batch.column("xa").to_pylist(), batch.column("xb").to_pylist(), batch.column("n").to_numpy()
+            short = np.array([min(len(p), len(q)) // 8 for p, q in zip(x, y)])
+            keep = np.zeros(len(batch), dtype=bool)
+            for longs in np.unique(short):
+                at = np.flatnonzero(short == longs)
+                differ = np.bitwise_count(folded([x[i] for i in at], longs) ^ folded([y[i] for i in at], longs)).sum(axis=1, dtype=np.int64)
+                keep[at] = may_link(differ, sizes[at], percent)
+            yield batch.filter(pa.array(keep)).select(["a", "b"])
+
+    side = lambda k: sketches.select(F.col("id").alias(k), F.col("n").alias(f"n{k}"), F.col("sketch").alias(f"x{k}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
+    return both.select("a", "b", (F.col("na") + F.col("nb")).alias("n"), "xa", "xb").mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int, fan: int = FAN) -> DataFrame:
+    """Those pairs (a, b) whose sets reach the similarity, checked on their words.
+
+    The text of a is sent once for every `fan` partners, also where it is the centre of a very large group.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, held = None, set()
+        held: set = set()
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("ta").to_pylist(), batch.column("tb").to_pylist()):
-                if x != last:
-                    last, held = x, shingle_set(x, shingle)
-                other = shingle_set(y, shingle)
+            for b, text in zip(batch.column("b").to_pylist(), batch.column("text").to_pylist()):
+                other = shingle_set(text, shingle)
+                if b is None:
+                    held = other
                 both = len(held & other)
-                keep.append(both > 0 and 100 * both >= percent * (len(held) + len(other) - both))
+                keep.append(b is not None and both > 0 and 100 * both >= percent * (len(held) + len(other) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select(["a", "b"])
 
-    a, b = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "ta", "tb").sortWithinPartitions("a").mapInArrow(run, "a long, b long")
+    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(fan)).cast("int").alias("lots"))
+    dealt = pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("lots")).cast("int").alias("lot"))
+    held = texts.select(F.col("doc_id").alias("t"), "text")
+    ones = dealt.select("a", "lot").distinct().join(held, F.col("a") == F.col("t")).select("a", "lot", F.lit(None).cast("long").alias("b"), "text")
+    rest = dealt.join(held, F.col("b") == F.col("t")).select("a", "lot", "b", "text")
+    return ones.unionByName(rest).repartition("a", "lot").sortWithinPartitions("a", "lot", F.col("b").asc_nulls_first()).mapInArrow(run, "a long, b long")
+
+
+def possible(open_: DataFrame, sketches: DataFrame, percent: int, block: int) -> DataFrame:
+    """Edges (a, b) that join all ids which, by sketches, may link with one of another component in the same bucket.
+
+    open_: key, id, c. A bucket of n ids is cut into n / block blocks by hash, and every two blocks meet in one task.
+    """
+    many = open_.groupBy("key").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("nb"))
+    placed = open_.join(many, "key").withColumn("b", F.pmod(F.xxhash64(F.lit(5), "id"), F.col("nb")).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1))).select("key", "id", "c", F.least("b", "other").alias("p"), F.greatest("b", "other").alias("q"))
+    rows = met.join(sketches, "id").select("key", "p", "q", "id", "c", "n", "sketch")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a, b = [], []
+        for _, t in groups(batches, ("key", "p", "q")):
+            ids, c, n, raw = t.column("id").to_numpy(), t.column("c").to_numpy(), t.column("n").to_numpy(), t.column("sketch").to_pylist()
+            x = folded(raw, min(map(len, raw)) // 8)
+            root = np.arange(len(ids))
+
+            def find(v: int) -> int:
+                while root[v] != v:
+                    root[v] = v = root[root[v]]
+                return v
+
+            for i in range(len(ids) - 1):
+                near = may_link(np.bitwise_count(x[i] ^ x[i + 1 :]).sum(axis=1, dtype=np.int64), n[i] + n[i + 1 :], percent) & (c[i + 1 :] != c[i])
+                for j in np.flatnonzero(near) + i + 1:
+                    if (r := find(i)) != (s := find(j)):
+                        root[max(r, s)] = min(r, s)
+                        a.append(ids[i])
+                        b.append(ids[j])
+            if len(a) > 10_000:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+                a, b = [], []
+        if a:
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    return rows.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "a long, b long")
 
 
 def compared(mates: DataFrame, texts: DataFrame, shingle: int, percent: int, block: int) -> DataFrame:
@@ -191,40 +278,49 @@ def jaccard_groups(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCE
     signed = written(set_digests(docs, shingle))
     sets = ["n_shingles", "d1", "d2"]
     least = signed.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*sets).agg(F.min("doc_id").alias("rep"))
-    members = written(signed.join(least, sets, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep")))
+    members = written(signed.join(least, sets, "left").select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), F.coalesce("rep", "doc_id")).alias("rep"), F.when(F.col("doc_id") == F.coalesce("rep", "doc_id"), F.col("sketch")).alias("sketch")))
     dropped(signed)
-    copies = members.filter("doc_id <> rep").select("doc_id")
-    single = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").join(copies.hint("merge"), "doc_id", "left_anti")
+    copies = members.filter("doc_id <> rep").select("doc_id").distinct()
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).filter("doc_id IS NOT NULL")
+    single = matching(texts, copies, "doc_id", "left_anti")
     # Lists of ids grow with the input, so these joins shuffle at every size.
     here = W.partitionBy("key")
     rows = keys(single, shingle, percent).select("key", "id", "role", F.min("id").over(here).alias("lo"), F.max("id").over(here).alias("hi"), F.max(F.col("role") != HOLD).over(here).alias("looks"), F.max(F.col("role") != LOOK).over(here).alias("holds"))
     bucket = written(rows.filter("lo < hi AND looks AND holds").groupBy("key", "id").agg(F.max("role").alias("role")))
     freed(spark)
-    ids = bucket.select(F.col("id").alias("doc_id")).distinct()
-    # Only texts that share a bucket with another are verified, so only they are kept.
-    texts = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(ids.hint("merge"), "doc_id", "left_semi").dropDuplicates(["doc_id"]))
-    freed(spark)
+    shared = bucket.select("id").distinct()
+    sketches = written(members.filter("sketch IS NOT NULL").select(F.col("doc_id").alias("id"), F.col("n_shingles").alias("n"), "sketch").join(shared, "id", "left_semi").dropDuplicates(["id"]))
     # First every set of a bucket is held against one centre.
     centre = F.coalesce(F.min(F.when(F.col("role") == BOTH, F.col("id"))), F.min(F.when(F.col("role") == LOOK, F.col("id"))))
     centres = bucket.groupBy("key").agg(centre.alias("centre"))
     star = bucket.join(centres, "key").filter("id <> centre").select(F.least("centre", "id").alias("a"), F.greatest("centre", "id").alias("b")).distinct()
-    links = written(verified(star, texts, shingle, percent))
+    near = written(alike(star, sketches, percent))
+    freed(spark)
+    links = written(verified(near, _texts_of(texts, near.select(F.explode(F.array("a", "b")).alias("doc_id"))), shingle, percent))
+    freed(spark)
     labels = components(links)
-    # A bucket that then still holds different components is compared in full, once for all buckets with the same sets.
+    # A bucket that then still holds different components is compared in full, once for all buckets of the same sets.
     state = bucket.join(labels.select("id", F.col("component").alias("c")), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    left = state.groupBy("key").agg(F.min("id").alias("first"), F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).filter("lo < hi AND n > 2").select("key", "first")
-    open_ = written(state.join(left, "key").select("id", "c", "first").distinct())
-    clusters = components(open_.select(F.col("first").alias("a"), F.col("id").alias("b")))
-    mates = open_.select("id", "c").distinct().join(clusters, "id").withColumnRenamed("component", "cluster")
-    more = compared(mates, texts, shingle, percent, block)
+    same = [F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("x1"), F.bit_xor(F.xxhash64(F.lit(3), "id")).alias("x2")]
+    left = state.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), *same).filter("lo < hi AND n > 2").groupBy("n", "x1", "x2").agg(F.min("key").alias("key"))
+    open_ = written(state.join(left.select("key"), "key").select("key", "id", "c"))
+    forest = written(possible(open_, sketches, percent, SKETCHES))
+    clusters = components(forest)
+    mates = written(open_.select("id", "c").distinct().join(clusters, "id").withColumnRenamed("component", "cluster"))
+    more = compared(mates, _texts_of(texts, mates.select(F.col("id").alias("doc_id"))), shingle, percent, block)
     both = written(links.select("a", "b").unionByName(more))
     labels = components(both)
-    dropped(bucket, links, both, open_)
-    dropped(texts)
+    dropped(bucket, links, both, open_, near, sketches, forest, mates)
+    freed(spark)
     final = members.join(labels.select(F.col("id").alias("rep"), "component"), "rep", "left")
     return final.select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
 
 
+def _texts_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of some ids, one of each."""
+    return matching(texts, written(ids.distinct()), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
 def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """docs with the least doc_id of every group of near duplicates.
 
@@ -232,15 +328,15 @@ def one_of_each_group(docs: DataFrame, shingle: int = SHINGLE, percent: int = PE
     its own text's group has a lesser doc_id, a null one if there is any. Rows with the same doc_id and text all stay.
     """
     if docs.groupBy("doc_id").count().filter("doc_id IS NULL OR count > 1").isEmpty():
-        gone = jaccard_groups(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id")
-        return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(*docs.columns)
+        gone = written(jaccard_groups(docs, shingle, percent).filter("doc_id <> component_id").select("doc_id"))
+        return matching(docs, gone, "doc_id", "left_anti").select(*docs.columns)
     node = F.xxhash64(docs["doc_id"].isNull(), docs["doc_id"], docs["text"].isNull(), docs["text"])
     rows = docs.select(node.alias("node"), docs["doc_id"].alias("own_id"), docs["text"])
     groups = written(jaccard_groups(rows.select(F.col("node").alias("doc_id"), "text"), shingle, percent).select(F.col("doc_id").alias("node"), F.col("component_id").alias("c")).distinct())
     members = written(rows.select("node", "own_id").distinct().join(groups, "node"))
     best = members.groupBy("c").agg(F.min(F.struct(F.col("own_id").isNull(), "own_id", "node"))["node"].alias("best"))
-    gone = members.join(best, "c").filter("node <> best").select(F.col("node").alias("gone"))
-    return docs.join(gone.hint("merge"), node == F.col("gone"), "left_anti").select(*docs.columns)
+    gone = written(members.join(best, "c").filter("node <> best").select(F.col("node").alias("_node")))
+    return matching(docs.withColumn("_node", node), gone, "_node", "left_anti").select(*docs.columns)
 
 
 def op4_jaccard_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
