@@ -1,9 +1,9 @@
 """Toxicity by weak supervision.
 
 Voters are a fixed lexicon, words and word beginnings that a bounded sample of labelled rows shows to be telling,
-and a few patterns. A generative label model estimates by expectation-maximisation how often each voter fires on
-either class, and from the votes' correlations within a class how far voters repeat one another. Its posterior
-labels train a linear classifier over the votes, which scores every whole text.
+and a few patterns. A generative label model estimates by expectation-maximisation, from the votes alone, how often
+each voter fires on either class and how far voters repeat one another; given labels only say where it starts and
+which class is which. Its posterior labels train a linear classifier over the votes, which scores every whole text.
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from pyspark.sql import functions as F
 
 from ._store import fold, small_batches, table, written
 
-#: Labelled rows of either class, unlabelled rows, and voters that the model is fitted on, at most.
-MAX_TOXIC, MAX_CLEAN, MAX_FREE, MAX_VOTERS = 2500, 5000, 1500, 400
+#: Labelled rows of either class that the model is fitted on, at most.
+MAX_TOXIC, MAX_CLEAN = 2500, 5000
 #: Rows of a voter's own class at least, and the share of clean rows that may hold a voter.
 SUPPORT, NOISE, THRESHOLD, SEED = 4, 0.004, 0.3, 11
+#: Correlation within a class from which two voters are held to repeat each other.
+REPEATS = 0.8
 #: Beginnings of words that are looked at, in letters.
 PREFIXES = (3, 4, 5, 6)
 LEXICON = ("idiot", "moron", "stupid", "scum", "trash", "pathetic", "worthless", "disgusting", "loser", "bastard", "bitch", "whore", "slut", "shit", "fuck", "asshole", "imbecile", "retard", "kill yourself", "vermin")
@@ -36,7 +38,7 @@ _TOKEN = re.compile(r"[^\W\d_]+")
 def _signs(text: str) -> set[str]:
     """'w:' whole words and 'p:' beginnings of a text's words."""
     seen = set(_TOKEN.findall(text.lower()))
-    return {f"w:{w}" for w in seen if 3 <= len(w) <= 40} | {f"p:{w[:n]}" for w in seen for n in PREFIXES if len(w) > n}
+    return {f"w:{w}" for w in seen if len(w) >= 3} | {f"p:{w[:n]}" for w in seen for n in PREFIXES if len(w) > n}
 
 
 class Voters:
@@ -72,28 +74,34 @@ class Voters:
 def label_model(fires: np.ndarray, given: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, np.ndarray]:
     """Posterior of class 1 for each row, and each voter's weight.
 
-    fires: rows x voters of 0 and 1; given: 1, 0 or -1 where nothing is known. Given labels are held. A voter's
-    weight is one over the sum of its correlations with the voters within the classes, so ten voters that always
-    fire together count as one.
+    fires: rows x voters of 0 and 1; given: 1, 0 or -1 where nothing is known, the start and the names of the two
+    classes; without labels class 1 is the one that voters fire on. Rates and dependences are estimated in every round from the posteriors: a voter's weight is one over
+    the sum of its correlations, of those above REPEATS, with the voters within the classes, so ten voters that
+    always fire together count as one. Rows with the same votes are one row with a count.
     """
+    kinds, back, many = np.unique(fires, axis=0, return_inverse=True, return_counts=True)
+    back, many = back.ravel(), many.astype(float)
     known = given >= 0
-    post = np.where(known, given, 0.1).astype(float)
-    weight = np.ones(fires.shape[1])
+    post = np.bincount(back, weights=np.where(known, given, np.where(fires.any(axis=1), 0.5, 0.1)), minlength=len(kinds)) / many
     for turn in range(rounds):
-        prior = np.clip(post.mean(), 1e-4, 1 - 1e-4)
-        on1 = (post @ fires + 0.2) / (post.sum() + 4)
-        on0 = ((1 - post) @ fires + 0.02) / ((1 - post).sum() + 4)
-        if turn == 2:
-            off = fires - np.outer(post, on1) - np.outer(1 - post, on0)
-            sd = np.sqrt((off**2).mean(0)) + 1e-9
-            tie = np.clip(off.T @ off / len(off) / np.outer(sd, sd), 0, 1)
-            weight = 1 / np.maximum(1, (tie * (tie > 0.2)).sum(0))
-        odds = np.log(prior / (1 - prior)) + fires @ (weight * (np.log(on1) - np.log(on0))) + (1 - fires) @ (weight * (np.log1p(-on1) - np.log1p(-on0)))
-        new = np.where(known, given, 1 / (1 + np.exp(-np.clip(odds, -30, 30))))
-        if np.abs(new - post).max() < 1e-5 and turn > 3:
-            break
+        one, none = post * many, (1 - post) * many
+        prior = np.clip(one.sum() / many.sum(), 1e-4, 1 - 1e-4)
+        on1, on0 = (one @ kinds + 0.2) / (one.sum() + 4), (none @ kinds + 0.02) / (none.sum() + 4)
+        # Covariance within the classes: E[xy] less the products of the rates.
+        both = (kinds * many[:, None]).T @ kinds - np.outer(one @ kinds, on1) - np.outer(none @ kinds, on0)
+        sd = np.sqrt(np.maximum(np.diag(both), 1e-9))
+        tie = np.clip(both / np.outer(sd, sd), 0, 1)
+        weight = 1 / np.maximum(1, (tie * (tie > REPEATS)).sum(0))
+        odds = np.log(prior / (1 - prior)) + kinds @ (weight * (np.log(on1) - np.log(on0))) + (1 - kinds) @ (weight * (np.log1p(-on1) - np.log1p(-on0)))
+        new = 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
+        still = np.abs(new - post).max() < 1e-5
         post = new
-    return post, weight
+        if still:
+            break
+    out = post[back]
+    if known.any() and np.abs(out[known] - given[known]).mean() > 0.5:
+        out = 1 - out
+    return out, weight
 
 
 def linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 400) -> tuple[np.ndarray, float]:
@@ -107,7 +115,7 @@ def linear(x: np.ndarray, y: np.ndarray, ridge: float = 0.3, rounds: int = 400)
     return w, b
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN, max_free: int = MAX_FREE, max_voters: int = MAX_VOTERS) -> str:
+def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clean: int = MAX_CLEAN) -> str:
     """The model as JSON. labels: doc_id, toxic; contradicting or null labels of one doc_id are left out.
 
     The first rows by a seeded hash are taken, up to the bounds; of their texts only counts of signs and votes
@@ -118,9 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     given = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("m")).filter("toxic = m").drop("m")
     order = [F.xxhash64(F.lit(SEED), F.col("doc_id")), F.col("doc_id")]
     some = given.filter("toxic = 1").orderBy(*order).limit(max_toxic).unionByName(given.filter("toxic = 0").orderBy(*order).limit(max_clean))
-    free = docs.filter(F.col("doc_id").isNotNull()).select("doc_id").join(given, "doc_id", "left_anti").orderBy(*order).limit(max_free).select("doc_id", F.lit(-1).alias("toxic"))
-    # At most max_toxic + max_clean + max_free ids, so the broadcast is bounded by parameters.
-    chosen = written(some.unionByName(free), 1)
+    # At most max_toxic + max_clean ids, so the broadcast is bounded by parameters.
+    chosen = written(some, 1)
     sample = written(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").repartition(16))
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -135,7 +142,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_toxic: int = MAX_TOXIC, max_clea
     signs = sample.filter("toxic >= 0").mapInPandas(count, "sign string, y int, n long").groupBy("sign").agg(
         F.sum(F.expr("if(y = 1, n, 0)")).alias("on1"), F.sum(F.expr("if(y = 0, n, 0)")).alias("on0"))
     telling = signs.filter((F.col("on1") >= min(SUPPORT, max(2, n1 // 20))) & (F.col("on0") <= NOISE * max(n0, 1)) & (F.col("on1") * max(n0, 1) >= 20 * max(n1, 1) * F.col("on0")))
-    mined = [r[0] for r in telling.orderBy(F.desc("on1"), F.length("sign"), "sign").limit(max_voters).collect()]
+    mined = [r[0] for r in telling.orderBy(F.desc("on1"), F.length("sign"), "sign").collect()]
     voters = Voters(mined)
 
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
