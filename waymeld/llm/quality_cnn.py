@@ -22,8 +22,8 @@ from ._words import pieces
 CHUNK, STEP, BLOCK = 256, 192, 4
 #: Size of a byte's embedding, filters, hidden units.
 EMBED, FILTERS, HIDDEN = 6, 16, 16
-#: Labelled rows of either class, and chunks of a row evenly spread over its text, that the network is fitted on, at most.
-MAX_ROWS, MAX_CHUNKS, EPOCHS, SEED, THRESHOLD = 900, 48, 8, 3, 0.5
+#: Labelled rows of either class that the network is fitted on, at most, each with its whole text.
+MAX_ROWS, EPOCHS, SEED, THRESHOLD = 900, 8, 3, 0.5
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +118,7 @@ class Network:
                     self.p[k] = (self.p[k] - rate * (1 - epoch / epochs * 0.8) * (m1[k] / (1 - 0.9**step)) / (np.sqrt(m2[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chunks: int = MAX_CHUNKS) -> Network:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS) -> Network:
     """labels: doc_id, quality; null or contradicting labels of a doc_id are left out. With one class only, the score is its prior."""
     small_batches(docs.sparkSession)
     given = labels.filter(F.col("doc_id").isNotNull() & F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("y"), F.max("quality").alias("m")).filter("y = m").drop("m")
@@ -130,18 +130,13 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_chunks
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces(batches):
-            x, row = chunks(*buffers(b.column("text")))
-            out = []
-            for i in range(len(b)):
-                mine = np.flatnonzero(row == i)
-                out.append(x[mine[np.unique(np.linspace(0, len(mine) - 1, min(len(mine), max_chunks)).astype(int))]].tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(out, pa.binary())], names=["doc_id", "y", "x"])
-
-    # At most 2 * max_rows rows of max_chunks chunks reach the driver.
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), b.column("text").fill_null("").cast(pa.large_binary()).cast(pa.binary())], names=["doc_id", "y", "x"])
+
+    # The texts of at most 2 * max_rows labelled rows reach the driver, as their bytes.
     rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").mapInArrow(cut, "doc_id long, y int, x binary").orderBy("doc_id", "x").collect()
     y = np.array([r[1] for r in rows], dtype=np.float32)
     if len(set(y)) == 2:
-        net.train([np.frombuffer(r[2], np.uint8).reshape(-1, CHUNK) for r in rows], y)
+        net.train([chunks(np.frombuffer(r[2], np.uint8), np.array([0, len(r[2])]))[0] for r in rows], y)
         net.shift -= math.log(y.sum() / (len(y) - y.sum()))
     else:
         net.p = {k: np.zeros_like(v) for k, v in net.p.items()}
