@@ -10,9 +10,12 @@ languages together, by numpy over all words of one length.
 from __future__ import annotations
 
 import base64
+import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,52 +23,71 @@ from pyspark.sql import functions as F
 from ._store import fold, small_batches, table
 from ._words import mix, pieces, powers, words
 
-#: Public vocabulary of byte pieces; longest piece in bytes that is used; training rows of a language, about, and of words, at most; languages at most.
-VOCABULARY, LONGEST, MAX_ROWS, MAX_WORDS, MAX_LANGS, SEED = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", 10, 400, 60_000, 200, 5
+#: Public vocabulary of byte pieces, read where fit() runs; training rows of a language, about.
+VOCABULARY, MAX_ROWS, SEED = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken", 400, 5
+#: Bytes of a word from which it is summed on its own, and of the parts that longer words are cut into for learning.
+LONG, PART = 256, 48
 UNKNOWN = "und"
 
 
-def read_vocabulary(path: str = VOCABULARY, longest: int = LONGEST) -> list[bytes]:
+def read_vocabulary(path: str = VOCABULARY) -> list[bytes]:
+    """All pieces that can stand in a lower-cased word with a space in front, and every single byte."""
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no vocabulary of byte pieces at {path}; give another as `vocabulary`")
     with open(path, "rb") as f:
         found = {base64.b64decode(line.split()[0]) for line in f if line.strip()}
-    return sorted({p for p in found if 0 < len(p) <= longest and p == p.lower()} | {bytes([b]) for b in range(256)})
+    return sorted({p for p in found if p and p == p.lower() and not re.search(rb"[\x09-\x0d]|. ", p, re.S)} | {bytes([b]) for b in range(256)})
 
 
-def piece_hashes(vocabulary: list[bytes]) -> np.ndarray:
-    out = np.zeros(len(vocabulary), dtype=np.uint64)
+def trie(vocabulary: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all beginnings of the pieces, sorted, and the piece that each is, or -1."""
+    nodes: dict[bytes, int] = {}
     for i, p in enumerate(vocabulary):
-        b = np.frombuffer(p, dtype=np.uint8).astype(np.uint64) + np.uint64(1)
-        out[i] = (b * powers(len(p))[: len(p)]).sum(dtype=np.uint64)
-    return mix(out ^ np.array([len(p) for p in vocabulary], dtype=np.uint64))
+        for n in range(1, len(p)):
+            nodes.setdefault(p[:n], -1)
+        nodes[p] = i
+    sizes = np.array([len(p) for p in nodes])
+    data = np.frombuffer(b"".join(nodes), dtype=np.uint8).astype(np.uint64) + np.uint64(1)
+    at = np.cumsum(sizes) - sizes
+    within = np.arange(len(data)) - np.repeat(at, sizes)
+    hashes = mix(np.add.reduceat(data * powers(int(sizes.max()))[within], at) ^ sizes.astype(np.uint64))
+    order = np.argsort(hashes)
+    return hashes[order], np.array(list(nodes.values()), dtype=np.int64)[order]
 
 
 class Lattice:
-    """Pieces by hash, for looking up the substrings of many words at once."""
+    """Beginnings of pieces by hash, for looking up the substrings of many words at once."""
 
-    def __init__(self, hashes: np.ndarray, longest: int) -> None:
-        self.order = np.argsort(hashes)
-        self.sorted, self.longest = hashes[self.order], longest
+    def __init__(self, hashes: np.ndarray, piece: np.ndarray, longest: int) -> None:
+        self.hashes, self.piece, self.longest = hashes, piece, longest
 
-    def find(self, h: np.ndarray) -> np.ndarray:
-        at = np.minimum(np.searchsorted(self.sorted, h), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == h, self.order[at], -1)
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether a longer or equal piece begins so, and the piece itself or -1."""
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        known = self.hashes[at] == h
+        return known, np.where(known, self.piece[at], -1)
 
     def arcs(self, block: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """start, end, words and their pieces, for a matrix of words of one length, by start."""
         length, power = block.shape[1], powers(self.longest)
         values = block.astype(np.uint64) + np.uint64(1)
         for i in range(length):
-            h = np.zeros(len(block), dtype=np.uint64)
+            live, h = np.arange(len(block)), np.zeros(len(block), dtype=np.uint64)
             for n in range(1, min(self.longest, length - i) + 1):
-                h = h + values[:, i + n - 1] * power[n - 1]
-                piece = self.find(mix(h ^ np.uint64(n)))
+                h = h + values[live, i + n - 1] * power[n - 1]
+                known, piece = self.find(mix(h ^ np.uint64(n)))
                 hit = np.flatnonzero(piece >= 0)
                 if len(hit):
-                    yield i, i + n, hit, piece[hit]
+                    yield i, i + n, live[hit], piece[hit]
+                live, h = live[known], h[known]
+                if not len(live):
+                    break
 
     def forward(self, block: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Log-probability of each word in each language; p: pieces x languages."""
         n, length = block.shape
+        if length > LONG:
+            return np.array([self.forward_long(word, p) for word in block])
         alpha = np.zeros((length + 1, n, p.shape[1]))
         alpha[0], scale, done = 1.0, np.zeros((n, 1)), 0
         for i, j, hit, piece in self.arcs(block):
@@ -77,6 +99,38 @@ class Lattice:
             alpha[j, hit] += alpha[i, hit] * p[piece]
         return np.log(np.maximum(alpha[length], 1e-300)) + scale
 
+    def forward_long(self, word: np.ndarray, p: np.ndarray) -> np.ndarray:
+        """The same for one long word: its arcs are found for all places at once, and only open sums are held."""
+        length, power, ring = len(word), powers(self.longest), self.longest + 1
+        values = word.astype(np.uint64) + np.uint64(1)
+        live, h, found = np.arange(length), np.zeros(length, dtype=np.uint64), []
+        for n in range(1, min(self.longest, length) + 1):
+            ok = live + n <= length
+            live, h = live[ok], h[ok]
+            h = h + values[live + n - 1] * power[n - 1]
+            known, piece = self.find(mix(h ^ np.uint64(n)))
+            hit = piece >= 0
+            found.append((live[hit], np.full(int(hit.sum()), n), piece[hit]))
+            live, h = live[known], h[known]
+            if not len(live):
+                break
+        start, size, piece = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(start, kind="stable")
+        size, piece = size[order], piece[order]
+        cuts = np.searchsorted(start[order], np.arange(length + 1)).tolist()
+        alpha, scale = np.zeros((ring, p.shape[1])), 0.0
+        alpha[0] = 1.0
+        for i in range(length):
+            s, e = cuts[i], cuts[i + 1]
+            here = alpha[i % ring].copy()
+            alpha[i % ring] = 0.0
+            alpha[(i + size[s:e]) % ring] += here * p[piece[s:e]]
+            if i % 12 == 11:
+                most = max(alpha.max(), 1e-290)
+                alpha /= most
+                scale += np.log(most)
+        return np.log(np.maximum(alpha[length % ring], 1e-300)) + scale
+
 
 def by_length(data: np.ndarray, start: np.ndarray, end: np.ndarray, most: int = 40_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Words as matrices of one length each, a space in front: which words, and their bytes."""
@@ -93,8 +147,12 @@ def by_length(data: np.ndarray, start: np.ndarray, end: np.ndarray, most: int =
 def learn(found: list[bytes], counts: np.ndarray, lattice: Lattice, n_pieces: int, rounds: int = 4) -> np.ndarray:
     """Expected uses of each piece, by expectation-maximisation over all segmentations of the words."""
     data = np.frombuffer(b"".join(found), dtype=np.uint8)
-    ends = np.cumsum([len(w) for w in found])
-    blocks = [(counts[which], block) for which, block in by_length(data, ends - [len(w) for w in found], ends) if block.shape[1] <= 64]
+    sizes = np.array([len(w) for w in found], dtype=np.int64)
+    parts = -(-sizes // PART)
+    own = np.repeat(np.arange(len(sizes)), parts)
+    at = (np.arange(len(own)) - np.repeat(np.cumsum(parts) - parts, parts)) * PART
+    start = np.repeat(np.cumsum(sizes) - sizes, parts) + at
+    blocks = [(counts[own[which]], block) for which, block in by_length(data, start, start + np.minimum(PART, sizes[own] - at))]
     arcs = [(c, b.shape, list(lattice.arcs(b))) for c, b in blocks]
     use = np.zeros(n_pieces)
     for c, _, found_arcs in arcs:
@@ -116,15 +174,15 @@ def learn(found: list[bytes], counts: np.ndarray, lattice: Lattice, n_pieces: in
     return use
 
 
-def fit(train: DataFrame, vocabulary: str = VOCABULARY, max_rows: int = MAX_ROWS, max_words: int = MAX_WORDS, seed: int = SEED) -> dict:
-    """Languages, log priors, hashes of the used pieces and their probabilities. train: doc_id, text, lang.
+def fit(train: DataFrame, vocabulary: str = VOCABULARY, max_rows: int = MAX_ROWS, seed: int = SEED) -> dict:
+    """Languages, log priors, the vocabulary's trie and the pieces' probabilities. train: doc_id, text, lang.
 
-    Priors count all rows. Piece probabilities are fitted on about max_rows rows of each language, drawn by a
-    seeded hash, and on the max_words commonest words of these. No row with a language: no languages.
+    Priors count all rows. Piece probabilities are fitted on all words of about max_rows rows of each language,
+    drawn by a seeded hash; words longer than PART bytes are cut there for this. No row with a language: no languages.
     """
     small_batches(train.sparkSession)
     named = train.filter(F.col("lang").isNotNull())
-    counts = {r[0]: r[1] for r in named.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    counts = {r[0]: r[1] for r in named.groupBy("lang").count().collect()}
     if not counts:
         return {"langs": []}
     million = F.pmod(F.xxhash64(F.lit(seed), F.col("doc_id")), F.lit(1_000_000))
@@ -143,32 +201,34 @@ def fit(train: DataFrame, vocabulary: str = VOCABULARY, max_rows: int = MAX_ROWS
                     at = mine[at]
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array([w.data[s:e].tobytes() for s, e in zip(w.start[at], w.end[at])], pa.binary()), pa.array(n, pa.int64())], names=["lang", "word", "n"])
 
-    totals = sample.mapInArrow(count, "lang string, word binary, n long").filter(F.length("word") < 64).groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    langs = sorted(counts)
-    pieces_, hashes = read_vocabulary(vocabulary), None
-    hashes = piece_hashes(pieces_)
-    lattice = Lattice(hashes, LONGEST)
-    uses = []
-    for lang in langs:
-        rows = totals.filter(F.col("lang") == lang).orderBy(F.desc("n"), "word").limit(max_words).collect()
-        uses.append(learn([bytes(r[1]) for r in rows], np.array([r[2] for r in rows], dtype=float), lattice, len(pieces_)) if rows else np.zeros(len(pieces_)))
-    use = np.array(uses).T
-    single = np.array([len(p) == 1 for p in pieces_])
-    kept = (use.max(axis=1) > 0.5) | single
-    p = (use[kept] + 0.02) / (use[kept] + 0.02).sum(axis=0)
+    langs, pieces_ = sorted(counts), read_vocabulary(vocabulary)
+    hashes, piece = trie(pieces_)
+    longest = max(map(len, pieces_))
+
+    def learned(group: pd.DataFrame) -> pd.DataFrame:
+        found = group.groupby("word", sort=True)["n"].sum()
+        use = learn([bytes(w) for w in found.index], found.to_numpy(dtype=float), Lattice(hashes, piece, longest), len(pieces_))
+        at = np.flatnonzero(use > 1e-6)
+        return pd.DataFrame({"lang": group["lang"].iloc[0], "piece": at, "uses": use[at]})
+
+    # One scan for all languages; at most pieces x languages rows reach the driver.
+    use = np.zeros((len(pieces_), len(langs)))
+    for lang, at, n in sample.mapInArrow(count, "lang string, word binary, n long").groupBy("lang").applyInPandas(learned, "lang string, piece int, uses double").collect():
+        use[at, langs.index(lang)] = n
+    p = (use + 0.02) / (use + 0.02).sum(axis=0)
     total = sum(counts.values())
-    return {"langs": langs, "prior": np.log([counts[k] / total for k in langs]), "hashes": hashes[kept], "p": p}
+    return {"langs": langs, "prior": np.log([counts[k] / total for k in langs]), "hashes": hashes, "piece": piece, "longest": longest, "p": p}
 
 
 def predict(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, lang_pred, score of every row; 'und' with score 0 where the text is null or has no letter."""
     spark = docs.sparkSession
     small_batches(spark, 3000)
-    shared = spark.sparkContext.broadcast(model)  # at most the vocabulary's pieces times MAX_LANGS
+    shared = spark.sparkContext.broadcast(model)  # the vocabulary's pieces times the languages
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        lattice = Lattice(m["hashes"], LONGEST) if m["langs"] else None
+        lattice = Lattice(m["hashes"], m["piece"], m["longest"]) if m["langs"] else None
         for batch in pieces(batches):
             texts = batch.column("text")
             w = words(texts)
@@ -184,7 +244,7 @@ def predict(docs: DataFrame, model: dict) -> DataFrame:
             if lattice is not None and len(w.hash):
                 _, first, back = np.unique(w.hash, return_index=True, return_inverse=True)
                 table_ = np.zeros((len(first), len(m["langs"])))
-                for which, block in by_length(w.data, w.start[first], w.end[first]):
+                for which, block in by_length(w.data, w.start[first], w.end[first], max(1000, 160_000 // len(m["langs"]))):
                     table_[which] = lattice.forward(block, m["p"])
                 sums = np.zeros((len(w.hash) + 1, len(m["langs"])))
                 np.cumsum(table_[back], axis=0, out=sums[1:])
