@@ -194,15 +194,16 @@ def _lm_scores(docs: DataFrame, train: str, batch_rows: Callable[[int], None]) -
     spark = docs.sparkSession
     batch_rows(3000)
     held = written(blocks(docs.select("doc_id", "text", F.coalesce(F.col(train), F.lit(False)).alias("train"))))
-    size = held.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    size, n_blocks = held.agg(F.coalesce(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x)), F.lit(0)), F.count("*")).first()
     buckets = max(12, math.ceil(size / TASK_TOKENS))
     batch_rows(4)  # a row is a block
     asked = held.select("block", "lens", "train", "vocab", "inv").mapInArrow(_requests(buckets), "block long, order int, bucket int, keys binary, n binary")
-    replies = written(asked.groupBy("order", "bucket").applyInArrow(_replies, "block long, order int, bucket int, counts binary, total long, kinds long"))
+    # As many tasks as groups: the largest task stays as it is when the input grows.
+    replies = written(asked.repartition(2 * buckets, "order", "bucket").groupBy("order", "bucket").applyInArrow(_replies, "block long, order int, bucket int, counts binary, total long, kinds long"))
     n, kinds = replies.filter(F.col("order") == 1).agg(F.coalesce(F.sum("total"), F.lit(0)), F.coalesce(F.sum("kinds"), F.lit(0))).first()
     starts = held.agg(F.sum(F.size(F.filter("train", lambda x: x)))).first()[0] or 0
     freed(spark)
-    got = replies.groupBy("block").agg(F.collect_list(F.struct("order", "bucket", "counts")).alias("got"))
+    got = replies.repartition(max(1, n_blocks), "block").groupBy("block").agg(F.collect_list(F.struct("order", "bucket", "counts")).alias("got"))
     counted = written(held.join(got, "block").mapInArrow(_counted, "ids array<long>, lens array<int>, train array<boolean>, inv binary, c1 binary, c2 binary"))
     dropped(held, replies)
     freed(spark)
