@@ -9,6 +9,7 @@ string, so its turns are gathered in one row; nothing larger than a pair of conv
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ._store import table
@@ -58,18 +59,35 @@ def preference_pairs(turns: DataFrame) -> DataFrame:
         F.when((F.size(c) == 0) | (F.size(r) == 0), "single").when((F.col("shared_turns") == F.size(c)) & (F.col("shared_turns") == F.size(r)), "same").otherwise("pair").alias("status"))
 
 
+def swapped_replies(turns: DataFrame) -> DataFrame:
+    """pair_id, side, turn, role, text: each conversation as chosen, and as rejected with its last assistant turn exchanged.
+
+    The exchanged text is the last reply of the conversation with the next conv_id, empty if there is none. A
+    conversation without assistant stays as it is. Ties of turn go by role, then text. Rows without conv_id go.
+    """
+    role, text = F.coalesce("role", F.lit("unknown")), F.coalesce("text", F.lit(""))
+    given = turns.filter("conv_id IS NOT NULL").select("conv_id", "turn", role.alias("role"), text.alias("text"))
+    order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
+    numbered = given.withColumn("k", F.row_number().over(order)).withColumn("last", F.max(F.when(F.col("role") == "assistant", F.col("k"))).over(W.partitionBy("conv_id")))
+    replies = numbered.filter("k = last").select((F.col("conv_id") - 1).alias("conv_id"), F.col("text").alias("other"))
+    rejected = numbered.join(replies, "conv_id", "left").withColumn("text", F.when(F.col("k") == F.col("last"), F.coalesce("other", F.lit(""))).otherwise(F.col("text")))
+    side = lambda rows, n: rows.select(F.col("conv_id").alias("pair_id"), F.lit(n).alias("side"), "turn", "role", "text")
+    return side(numbered, 0).unionByName(side(rejected, 1))
+
+
 def op8_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table marks no preferences: an even conv_id is taken as chosen, the odd one after it as rejected."""
-    turns = table(spark, sf_dir, "conversations")
-    return preference_pairs(turns.select(F.floor(F.col("conv_id") / 2).alias("pair_id"), F.pmod("conv_id", F.lit(2)).alias("side"), "turn", "role", "text"))
+    """The table marks no preferences: a conversation is chosen over itself with another's last reply."""
+    return preference_pairs(swapped_replies(table(spark, sf_dir, "conversations")))
 
 
 SQL = """
-WITH t AS (
-  SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, conv_id % 2 AS side, turn, coalesce(role, 'unknown') AS role,
-         '<|' || coalesce(role, 'unknown') || '|>' || chr(10) AS head,
-         replace(coalesce(text, ''), '<|', '< |') || '<|end|>' || chr(10) AS body
-  FROM conversations WHERE conv_id IS NOT NULL),
+WITH g AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+m AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS k FROM g),
+z AS (SELECT *, max(k) FILTER (role = 'assistant') OVER (PARTITION BY conv_id) AS last FROM m),
+s AS (SELECT conv_id AS pair_id, 0 AS side, turn, role, text FROM z UNION ALL
+      SELECT z.conv_id, 1, z.turn, z.role, CASE WHEN z.k = z.last THEN coalesce(o.text, '') ELSE z.text END
+      FROM z LEFT JOIN (SELECT conv_id - 1 AS conv_id, text FROM z WHERE k = last) o ON z.conv_id = o.conv_id),
+t AS (SELECT pair_id, side, turn, role, '<|' || role || '|>' || chr(10) AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS body FROM s),
 n AS (SELECT *, row_number() OVER (PARTITION BY pair_id, side ORDER BY turn NULLS FIRST, role, head, body) AS k FROM t),
 c AS (SELECT * FROM n WHERE side = 0), r AS (SELECT * FROM n WHERE side = 1),
 p AS (SELECT pair_id, count(*) FILTER (side = 0) AS chosen_turns, count(*) FILTER (side = 1) AS rejected_turns FROM n GROUP BY 1),
