@@ -3,13 +3,14 @@
 import itertools
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
 
-from waymeld.llm import components, decontaminate, deleted_interpolation, exact_dedup, jaccard_join, language_id, passage_chains, preference_chat, quality_cnn, source_mix, toxicity
+from waymeld.llm import components, decontaminate, deleted_interpolation, exact_dedup, jaccard_join, language_id, passage_chains, preference_chat, quality_cnn, queries, source_mix, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, key long, n long"
 
@@ -183,13 +184,29 @@ def test_deleted_interpolation(spark, docs, rows):
     for i, t in tokens.items():
         assert (got[i]["n_tokens"], got[i]["n_known"], got[i]["train_tokens"]) == (len(t), sum(count[w] > 0 for w in t), n)
         assert math.isclose(got[i]["base_score"], sum(math.log10((count[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t), rel_tol=1e-9)
-        assert got[i]["score"] < 0
+    # The mixture by its definition: weights from deleted counts, learned on the same histogram cells.
+    d = deleted_interpolation
+    pairs = Counter((a, b) for i in train for a, b in zip(["start", *tokens[i]], tokens[i]))
+    starts, one = len(train), lambda c: len(train) if c == "start" else count[c]
+    cells = defaultdict(lambda: [0, 0.0, 0.0])
+    step = lambda x: min(int(-math.log2(x) * d.STEPS) + 1, d.OCTAVES * d.STEPS) if x > 0 else 0
+    bucket = lambda c: min(math.frexp(c)[1] if c > 0 else 0, d.CONTEXTS - 1)
+    for i in train:
+        for a, b in zip(["start", *tokens[i]], tokens[i]):
+            c = (starts if a == "start" else count[a]) - 1
+            p2, p1 = ((pairs[a, b] - 1) / c if c > 0 else 0.0), (count[b] - 1) / (n - 1)
+            cell = cells[(bucket(c) * (d.OCTAVES * d.STEPS + 1) + step(p2)) * (d.OCTAVES * d.STEPS + 1) + step(p1)]
+            cell[0], cell[1], cell[2] = cell[0] + 1, cell[1] + p2, cell[2] + p1
+    w = d.mixture([(k, *x) for k, x in sorted(cells.items())], v)
+    for i, t in tokens.items():
+        p = [w[bucket(one(a))] @ [pairs[a, b] / one(a) if one(a) else 0.0, count[b] / n, 1 / (v + 1)] for a, b in zip(["start", *t], t)]
+        assert math.isclose(got[i]["score"], sum(map(math.log10, p)), rel_tol=1e-9)
     assert deleted_interpolation.lm_scores(docs.limit(0).withColumn("train", F.lit(True))).count() == 0
 
 
 def test_lattice_sums_all_segmentations():
     vocabulary = [b"a", b"b", b" ", b"ab", b" a", b"ba", b"aba"]
-    lattice = language_id.Lattice(language_id.piece_hashes(vocabulary), 10)
+    lattice = language_id.Lattice(*language_id.trie(vocabulary), 3)
     p = np.linspace(0.05, 0.2, len(vocabulary))[:, None]
 
     def total(w):
@@ -198,6 +215,14 @@ def test_lattice_sums_all_segmentations():
     for w in (b" aba", b" abab", b" bbaabababababababababab"):
         got = lattice.forward(np.frombuffer(w, np.uint8)[None], p)[0, 0]
         assert math.isclose(got, math.log(total(w)), rel_tol=1e-9)
+        assert math.isclose(lattice.forward_long(np.frombuffer(w, np.uint8), p)[0], got, rel_tol=1e-9)
+
+
+def test_language_of_a_word_without_end(spark):
+    train = spark.createDataFrame([(i, ("abcde" if i % 2 else "vwxyz") * 9 + " " + "q" * 300, "en" if i % 2 else "fr") for i in range(20)], "doc_id long, text string, lang string")
+    began = time.time()
+    got = by_id(language_id.predict(spark.createDataFrame([(1, "abcde" * 40_000), (2, "vwxyz" * 100), (3, "9" * 50_000)], "doc_id long, text string"), language_id.fit(train)))
+    assert [got[i]["lang_pred"] for i in (1, 2, 3)] == ["en", "fr", "und"] and time.time() - began < 60
 
 
 def test_language(spark):
@@ -307,3 +332,119 @@ def test_pipeline(spark):
     assert len(ids & toxic) < len(toxic)
     mix = corpus_pipeline.STAGES[-1][1](spark, kept, sf).collect()
     assert {r["doc_id"] for r in mix} == ids and all(r["taken"] <= 2 * r["size"] for r in mix)
+
+
+def test_mixture_finds_the_weights():
+    d = deleted_interpolation
+    # Tokens drawn by bigram, unigram or uniform with known shares, each estimate certain of its own tokens.
+    cells = [((5 * (d.OCTAVES * d.STEPS + 1) + k) * (d.OCTAVES * d.STEPS + 1), n, s2, s1) for k, (n, s2, s1) in enumerate([(7000, 7000 * 0.5, 0.0), (2500, 0.0, 2500 * 0.5), (500, 0.0, 0.0)])]
+    got = d.mixture(cells, 1_000_000, 400)[5]
+    assert np.abs(got - [0.7, 0.25, 0.05]).max() < 0.01
+
+
+def test_odd_sketch_never_says_too_much():
+    g = np.random.default_rng(4)
+    for _ in range(60):
+        n, edits = int(g.integers(1, 900)), int(g.integers(0, 40))
+        a = np.unique(g.integers(0, 1 << 62, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[min(edits, len(a) - 1) :], g.integers(0, 1 << 62, edits).astype(np.uint64)]))
+        x, y = jaccard_join.odd_sketch(a).tobytes(), jaccard_join.odd_sketch(b).tobytes()
+        longs = min(len(x), len(y)) // 8
+        differ = int(np.bitwise_count(jaccard_join.folded([x], longs) ^ jaccard_join.folded([y], longs)).sum())
+        assert differ <= len(np.setxor1d(a, b))
+        both = len(np.intersect1d(a, b))
+        if 100 * both >= 80 * (len(a) + len(b) - both):
+            assert jaccard_join.may_link(differ, len(a) + len(b), 80)
+
+
+def test_groups_whose_centre_links_with_none(spark):
+    # A bucket of sets around several centres: only the comparison of open buckets can find these links.
+    texts = [f"{words(120, 5)} {words(5, k // 3)} {words(2, 900 + k)}" for k in range(24)]
+    rows = [(0, words(120, 5) + " " + words(30, 77)), *enumerate(texts, 1), (99, None)]
+    for block in (512, 4):
+        got = by_id(jaccard_join.jaccard_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90, block))
+        sets = {i: jaccard_join.shingle_set(t) for i, t in rows}
+        root = {i: i for i in sets}
+        for _ in sets:
+            for i, j in itertools.combinations(sets, 2):
+                both = len(sets[i] & sets[j])
+                if both and 100 * both >= 90 * len(sets[i] | sets[j]):
+                    root[i] = root[j] = min(root[i], root[j])
+        assert {i: got[i]["component_id"] for i in sets} == root
+
+
+def test_label_model_without_labels():
+    g = np.random.default_rng(3)
+    y = (g.random(4000) < 0.2).astype(int)
+    rates = g.uniform(0.5, 0.9, 8)
+    fires = (g.random((4000, 8)) < np.where(y[:, None] == 1, rates, 0.03)).astype(float)
+    fires = np.hstack([fires, np.repeat(fires[:, :1], 6, axis=1)])  # seven voters that say the same
+    post, weight = toxicity.label_model(fires, np.full(4000, -1))
+    assert ((post > 0.5) == (y == 1)).mean() > 0.97 and weight[8:].max() < 0.2 and weight[1:8].min() > 0.5
+    swapped, _ = toxicity.label_model(fires, np.where(np.arange(4000) < 500, y, -1))
+    assert ((swapped > 0.5) == (y == 1)).mean() > 0.97
+
+
+def test_quality(spark):
+    good = lambda k: " ".join(random.Random(k).choices(["river", "meadow", "the", "of", "village", "stone"], k=60)) + "."
+    bad = lambda k: " ".join(random.Random(k).choices(["$$$", "CLICK", "!!!", "win9", "www"], k=60))
+    texts = [(i, good(i) if i % 2 else bad(i), 7, i % 2) for i in range(120)]
+    docs = spark.createDataFrame([(i, t, k, "x") for i, t, k, _ in texts] + [(500, None, 1, None), (501, "", 1, "y"), (502, good(9) * 400, 1, "y"), (3, texts[3][1], 7, "x")], "doc_id long, text string, y long, score string")
+    labels = spark.createDataFrame([(i, q) for i, _, _, q in texts if i < 90] + [(1, 0), (2, None), (None, 1)], "doc_id long, quality int")
+    got = quality_cnn.score(docs, quality_cnn.fit(docs, labels))
+    assert got.columns == ["doc_id", "score", "predicted"] and got.count() == 124
+    got = by_id(got)
+    assert all(got[i]["predicted"] == q for i, _, _, q in texts) and got[502]["predicted"] == 1 and got[500]["score"] == got[501]["score"]
+    assert all(0 <= r["score"] <= 1 for r in got.values())
+    one = quality_cnn.fit(docs, labels.filter("quality = 1"))
+    assert len({r["score"] for r in quality_cnn.score(docs, one).collect()}) == 1
+    assert quality_cnn.score(docs.limit(0), quality_cnn.fit(docs.limit(0), labels.limit(0))).count() == 0
+
+
+def test_swapped_replies(spark):
+    turns = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (2, 0, "user", "a"), (2, 1, "assistant", "c"), (2, 1, "assistant", "d"), (3, None, None, None), (None, 0, "user", "x")]
+    table = spark.createDataFrame([(*t, 5) for t in turns], "conv_id long, turn long, role string, text string, pair_id long")
+    got = {r["pair_id"]: r for r in preference_chat.preference_pairs(preference_chat.swapped_replies(table)).collect()}
+    assert sorted(got) == [1, 2, 3] and [got[k]["status"] for k in (1, 2, 3)] == ["pair", "pair", "same"]
+    assert got[1]["prompt"] == "<|user|>\na<|end|>\n" and got[1]["rejected"] == "<|assistant|>\nd<|end|>\n"
+    assert preference_chat.preference_pairs(preference_chat.swapped_replies(table.limit(0))).count() == 0
+
+
+CONTRACTS = {
+    "op2_source_mix": ("doc_id size:bigint source_size:bigint target:double taken:bigint", None),
+    "op3_toxicity": ("doc_id held_out:boolean score:double predicted:int", (4, 2)),
+    "op4_jaccard_groups": ("doc_id n_shingles:bigint component_id:bigint", None),
+    "op5_deleted_interpolation": ("doc_id held_out:boolean n_tokens:bigint n_known:bigint train_tokens:bigint base_score:double score:double", (5, 1)),
+    "op6_exact_dedup": ("doc_id keep_id:bigint group_size:bigint kept:boolean text_sha256:string", None),
+    "op9_quality_cnn": ("doc_id held_out:boolean score:double predicted:int", (3, 1)),
+    "op10_language": ("doc_id held_out:boolean lang_pred:string score:double", (3, 1)),
+}
+
+
+@pytest.mark.parametrize("name", CONTRACTS)
+def test_contract(spark, tmp_path, name):
+    """The registered query over a table with nulls, empty, very long and repeated texts, ties and clashing columns."""
+    columns, held = CONTRACTS[name]
+    texts = [(i, words(20 + i % 30, i % 37), ("en", "fr")[i % 2], ("a", "b", None)[i % 3]) for i in range(150)]
+    texts += [(200, None, None, None), (201, "", "en", "a"), (202, " \t", "en", "b"), (203, words(30_000, 7), "fr", "a"), (204, "x", None, "c")]
+    spark.createDataFrame([(*t, 0.5, True) for t in texts], "doc_id long, text string, lang string, source string, score double, held_out boolean").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(100)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    found = queries.QUERIES[name](spark, str(tmp_path))
+    types = dict(found.dtypes)
+    for c in columns.split()[1:]:
+        column, kind = c.split(":")
+        assert types[column] == kind
+    got = by_id(found)
+    assert len(got) == len(texts) == found.count()
+    if held:
+        assert all(r["held_out"] == (zlib.crc32(str(i).encode()) % held[0] == held[1]) for i, r in got.items())
+    if "predicted" in types:
+        assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= (0.3 if name.startswith("op3") else 0.5)) for r in got.values())
+
+
+def test_tokens_and_targets_of_every_source(spark, docs, rows):
+    got = by_id(source_mix.source_mix(docs))
+    size = lambda t: len((t or "").encode().split())
+    for i, t, _, source, *_ in rows:
+        assert got[i]["size"] == size(t) and got[i]["taken"] <= 2 * got[i]["size"]
+        assert got[i]["source_size"] == sum(size(r[1]) for r in rows if r[3] == source)

@@ -13,9 +13,11 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch(spark: SparkSession) -> str:
-    """Folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset."""
+    """Folder that driver and executors share: spark.checkpoint.dir, set here only where it is unset and all runs on one machine."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="waymeld-")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/waymeld-{uuid.uuid4().hex}"
