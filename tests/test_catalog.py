@@ -7,7 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from waymeld.plans import catalog
+from waymeld.plans import catalog, engine  # noqa: F401 - engine adds its queries to the catalog's
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

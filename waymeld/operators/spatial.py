@@ -5,37 +5,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-EARTH_M = 6371008.8
+from waymeld.functions.geo import haversine_m
 
+#: Metres of a degree of latitude, at the least.
+DEGREE_M = 110_000.0
 
-def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
-    """Great-circle metres."""
-    a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_M * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
+def _band(lat: Column, metres: float) -> Column:
+    return F.floor(lat * DEGREE_M / metres)
 
-def cells(lat: Column, lon: Column, metres: float, max_lat: float = 61.0) -> list[Column]:
-    """Row and column of the cell; no cell is narrower than `metres` up to max_lat."""
-    import math
 
-    dlat = metres / 110_000
-    dlon = metres / (110_000 * math.cos(math.radians(max_lat)))
-    return [F.floor(lat / dlat), F.floor(lon / dlon)]
+def _columns(band: Column, metres: float) -> Column:
+    """Cells around the globe in a band: none narrower than `metres` in it or its neighbours, whatever the latitude; one cell at the poles."""
+    edge = F.least(F.lit(90.0), (F.greatest(F.abs(band), F.abs(band + 1)) + 1) * metres / DEGREE_M)
+    return F.greatest(F.lit(1), F.floor(360.0 * DEGREE_M * F.cos(F.radians(edge)) / metres)).cast("bigint")
+
+
+def _column(lon: Column, many: Column) -> Column:
+    return F.pmod(F.floor((lon + 180.0) / 360.0 * many), many)
+
+
+def _cells(df: DataFrame, lat: str, lon: str, metres: float) -> DataFrame:
+    return df.withColumn("_r", _band(F.col(lat), metres)).withColumn("_c", _column(F.col(lon), _columns(F.col("_r"), metres)))
+
+
+def _spread(df: DataFrame, lat: str, lon: str, metres: float) -> DataFrame:
+    """Rows in their own and the neighbouring cells, around the date line too."""
+    rows = df.withColumn("_r", F.explode(F.sequence(_band(F.col(lat), metres) - 1, _band(F.col(lat), metres) + 1))).withColumn("_many", _columns(F.col("_r"), metres))
+    near = F.array_distinct(F.array(*[F.pmod(_column(F.col(lon), F.col("_many")) + k, F.col("_many")) for k in (-1, 0, 1)]))
+    return rows.withColumn("_c", F.explode(near)).drop("_many")
+
+
+def _distance() -> Column:
+    return haversine_m(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))
 
 
 def candidates(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
-    """Pairs in the same or a neighbouring cell, with their distance m; columns lid, llat, llon and rid, rlat, rlon."""
-    near = F.sequence(F.lit(-1), F.lit(1))
-    r, c = cells(F.col("llat"), F.col("llon"), metres)
-    spread = left.withColumn("dr", F.explode(near)).withColumn("dc", F.explode(near)).withColumn("r", r + F.col("dr")).withColumn("c", c + F.col("dc")).drop("dr", "dc")
-    r, c = cells(F.col("rlat"), F.col("rlon"), metres)
-    pairs = spread.join(right.withColumn("r", r).withColumn("c", c), ["r", "c"]).drop("r", "c")
-    return pairs.withColumn("m", haversine_m(F.col("llat"), F.col("llon"), F.col("rlat"), F.col("rlon"))).filter(F.col("m") <= metres)
+    """Pairs within `metres`, with their distance m; columns lid, llat, llon and rid, rlat, rlon. The right side, as a rule the smaller, is dealt to its neighbouring cells."""
+    pairs = _cells(left, "llat", "llon", metres).join(_spread(right, "rlat", "rlon", metres), ["_r", "_c"]).drop("_r", "_c")
+    return pairs.withColumn("m", _distance()).filter(F.col("m") <= metres)
 
 
 def near_semi(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
-    """Rows of left with a right point within `metres`."""
-    return left.join(candidates(left, right, metres).select("lid").distinct(), "lid", "left_semi")
+    """Rows of left with a right point within `metres`; each is settled by its first match, and no pairs are made."""
+    l, r = _cells(left, "llat", "llon", metres).alias("l"), _spread(right, "rlat", "rlon", metres).withColumnsRenamed({"_r": "_r2", "_c": "_c2"}).alias("r")
+    return l.join(r, (F.col("_r") == F.col("_r2")) & (F.col("_c") == F.col("_c2")) & (_distance() <= metres), "left_semi").drop("_r", "_c")
 
 
 def nearest(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:

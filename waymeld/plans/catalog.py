@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymeld.functions import climb
-from waymeld.operators import cdc, spatial
+from waymeld.operators import cdc, ranking, spatial
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -59,30 +58,19 @@ def both(name: str, spark_sql: str, duck_sql: str | None = None) -> None:
 
 
 # Windows and latest values of readings
-both("q_level_state", """SELECT user_id, max_by(value, event_id) AS level_m, CASE WHEN max_by(value, event_id) IS NULL THEN 'unknown' WHEN max_by(value, event_id) < 10 THEN 'low' WHEN max_by(value, event_id) > 60 THEN 'high' ELSE 'typical' END AS state FROM {events} GROUP BY user_id""",
-     """SELECT user_id, arg_max(value, event_id) AS level_m, CASE WHEN arg_max(value, event_id) IS NULL THEN 'unknown' WHEN arg_max(value, event_id) < 10 THEN 'low' WHEN arg_max(value, event_id) > 60 THEN 'high' ELSE 'typical' END AS state FROM events GROUP BY user_id""")
-both("q_topk_per_key", """SELECT user_id, event_id FROM (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS n FROM {events}) x WHERE n <= 6""")
-both("q_cadence_gap", """SELECT user_id, max(gap) AS widest FROM (SELECT user_id, event_id - lag(event_id) OVER (PARTITION BY user_id ORDER BY event_id) AS gap FROM {events}) x GROUP BY user_id""")
 both("q_islands", """SELECT user_id, run, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n FROM (SELECT user_id, event_id, sum(starts) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT user_id, event_id, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS starts FROM {events}) a) b GROUP BY user_id, run""",
      """SELECT user_id, CAST(run AS BIGINT) AS run, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n FROM (SELECT user_id, event_id, sum(starts) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT user_id, event_id, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS starts FROM events) a) b GROUP BY user_id, run""")
-both("q_nearest_rank", """SELECT user_id, element_at(v, CAST(greatest(1, bround(0.9 * size(v))) AS INT)) AS p90 FROM (SELECT user_id, sort_array(collect_list(value)) AS v FROM {events} GROUP BY user_id) x""",
-     """SELECT user_id, v[greatest(1, CAST(round_even(0.9 * len(v), 0) AS INT))] AS p90 FROM (SELECT user_id, list_sort(list(value) FILTER (value IS NOT NULL)) AS v FROM events GROUP BY user_id) x""")
-both("q_age_buckets", """SELECT CASE WHEN d < 30 THEN 'under_30d' WHEN d < 90 THEN 'under_90d' WHEN d < 365 THEN 'under_1y' ELSE 'older' END AS bucket, count(*) AS n FROM (SELECT datediff(DATE'1998-12-31', CAST(o_orderdate AS DATE)) AS d FROM {orders}) x GROUP BY 1""",
-     """SELECT CASE WHEN d < 30 THEN 'under_30d' WHEN d < 90 THEN 'under_90d' WHEN d < 365 THEN 'under_1y' ELSE 'older' END AS bucket, count(*) AS n FROM (SELECT date_diff('day', CAST(o_orderdate AS DATE), DATE '1998-12-31') AS d FROM orders) x GROUP BY 1""")
 # Aggregates
 both("q_join_pieces", """SELECT l_orderkey, count(*) AS pieces, count(DISTINCT l_quantity) AS distinct_lines, round(sum(DISTINCT l_quantity), 4) AS length, CASE WHEN count(DISTINCT l_shipdate) = 1 THEN min(l_returnflag) END AS said FROM {lineitem} GROUP BY l_orderkey""")
 both("q_distinct_length", """SELECT l_suppkey, round(sum(q), 4) AS km FROM (SELECT DISTINCT l_suppkey, l_partkey, l_quantity AS q FROM {lineitem}) x GROUP BY l_suppkey""")
 both("q_rollup_totals", """SELECT r_name, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 both("q_weighted_mode", """SELECT l_suppkey, l_returnflag AS surface FROM (SELECT l_suppkey, l_returnflag, row_number() OVER (PARTITION BY l_suppkey ORDER BY sum(l_quantity) DESC, l_returnflag) AS n FROM {lineitem} GROUP BY l_suppkey, l_returnflag) x WHERE n = 1""")
 both("q_all_types_present", """SELECT c_nationkey FROM {customer} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') GROUP BY c_nationkey HAVING count(DISTINCT c_mktsegment) = 3""")
-both("q_drop_gate", """SELECT coalesce(p.k, n.k) AS k, coalesce(p.n, 0) AS was, coalesce(n.n, 0) AS now, CASE WHEN p.n IS NULL THEN 'new' WHEN coalesce(n.n, 0) < 0.75 * p.n THEN 'refuse' ELSE 'pass' END AS verdict FROM (SELECT o_custkey % 50 AS k, count(*) AS n FROM {orders} WHERE o_orderkey % 3 <> 0 GROUP BY 1) p FULL JOIN (SELECT o_custkey % 50 AS k, count(*) AS n FROM {orders} WHERE o_orderkey % 2 = 0 GROUP BY 1) n ON p.k = n.k""")
 both("q_region_boxes", """SELECT b.box, count(*) AS n FROM (SELECT c_custkey, -5.0 + (c_custkey * 37 % 700) / 100.0 AS lon FROM {customer}) c JOIN (SELECT 'west' AS box, -5.0 AS lo, -1.0 AS hi UNION ALL SELECT 'mid', -2.0, 1.0 UNION ALL SELECT 'east', 0.0, 2.0) b ON lon BETWEEN lo AND hi GROUP BY b.box""")
 both("q_not_exists", """SELECT c_custkey FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 5 = 0)""")
 both("q_interval_tolerance", """SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM {orders} a JOIN {orders} b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND abs(datediff(a.o_orderdate, b.o_orderdate)) <= 3""",
      """SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND abs(date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE))) <= 3""")
 # Text, references, documents
-both("q_fold", """SELECT p_partkey, regexp_replace(translate(lower(p_name), 'áàâäéèêëíìîïóòôöúùûüç', 'aaaaeeeeiiiioooouuuuc'), '[^a-z0-9]', '') AS folded FROM {part}""",
-     """SELECT p_partkey, regexp_replace(translate(lower(p_name), 'áàâäéèêëíìîïóòôöúùûüç', 'aaaaeeeeiiiioooouuuuc'), '[^a-z0-9]', '', 'g') AS folded FROM part""")
 both("q_scrub_pii", """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]') AS clean FROM {documents}""",
      """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]', 'g') AS clean FROM documents""")
 both("q_classify", """SELECT p_partkey, CASE WHEN p_type LIKE '%BRASS%' THEN 'brass' WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_size > 25 THEN 'large' ELSE 'other' END AS kind FROM {part}""")
@@ -90,12 +78,6 @@ both("q_poi_category", """SELECT event_type, count(*) AS n FROM {events} WHERE c
 both("q_json_explode", """SELECT event_id, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {events}""", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 both("q_match_ref", """SELECT s_suppkey, c_custkey FROM (SELECT s_suppkey, regexp_replace(regexp_extract(s_name, '[0-9]+', 0), '^0+', '') AS ref FROM {supplier}) s JOIN (SELECT c_custkey, regexp_replace(regexp_extract(c_name, '[0-9]+', 0), '^0+', '') AS ref FROM {customer}) c ON s.ref = c.ref""")
 both("q_html_text", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' '), '[ \\n\\t]+', ' ')) AS body FROM {pages}""", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \n\t]+', ' ', 'g')) AS body FROM pages""")
-both("q_season", """SELECT o_orderkey, CASE WHEN date_format(o_orderdate, 'MM-dd') >= '10-01' OR date_format(o_orderdate, 'MM-dd') <= '04-30' THEN 'closed' ELSE 'open' END AS state FROM {orders}""",
-     """SELECT o_orderkey, CASE WHEN strftime(o_orderdate, '%m-%d') >= '10-01' OR strftime(o_orderdate, '%m-%d') <= '04-30' THEN 'closed' ELSE 'open' END AS state FROM orders""")
-both("q_parse_dates", """SELECT o_orderkey, CAST(coalesce(try_to_date(s, 'yyyy-MM-dd'), try_to_date(s, 'dd/MM/yyyy')) AS STRING) AS day FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN date_format(o_orderdate, 'yyyy-MM-dd') ELSE date_format(o_orderdate, 'dd/MM/yyyy') END AS s FROM {orders}) x""", """SELECT o_orderkey, CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS day FROM orders""")
-both("q_stable_id", """SELECT s_suppkey, shiftrightunsigned(CAST(conv(substr(sha2(s_name, 256), 1, 16), 16, -10) AS BIGINT), 1) AS id FROM {supplier}""",
-     """SELECT s_suppkey, CAST(CAST('0x' || substr(sha256(s_name), 1, 16) AS UBIGINT) // 2 AS BIGINT) AS id FROM supplier""")
-both("q_tile_bucket", """SELECT CAST(floor(lon / 5) * 5 AS BIGINT) AS w, CAST(floor(lat / 5) * 5 AS BIGINT) AS s, count(*) AS n FROM (SELECT -5.0 + (s_suppkey * 37 % 700) / 100.0 AS lon, 50.0 + (s_suppkey * 53 % 550) / 100.0 AS lat FROM {supplier}) x GROUP BY 1, 2""")
 both("q_council_union", """SELECT k, max(src) AS src FROM (SELECT c_custkey AS k, 'a' AS src FROM {customer} UNION ALL SELECT s_suppkey, 'b' FROM {supplier}) x GROUP BY k""")
 
 # Grouped summaries, bands and gates
@@ -104,15 +86,8 @@ both("q_authority_rows", """SELECT n_nationkey, coalesce(c.n, 0) AS records FROM
 both("q_length_totals", """SELECT r_name, n_name, CASE WHEN count(*) = count(km) THEN round(sum(km), 2) END AS km FROM (SELECT r_name, n_name, CASE WHEN c_custkey % 40 <> 0 THEN c_acctbal END AS km FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey) x GROUP BY ROLLUP (r_name, n_name)""")
 both("q_coverage", """SELECT l_suppkey, round(100 * avg(CAST(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS DOUBLE)), 3) AS matched_pct FROM {lineitem} GROUP BY l_suppkey""")
 both("q_band_position", """SELECT c_nationkey, """ + ", ".join(f"round(100 * avg(CAST(CASE WHEN c_acctbal < {edge} THEN 1 ELSE 0 END AS DOUBLE)), 3) AS below_{edge}" for edge in (1000, 5000, 9000)) + """ FROM {customer} GROUP BY c_nationkey""")
-both("q_record_guard", """SELECT k, was, now, CASE WHEN now = 0 THEN 'refuse' WHEN was >= 6 AND 3 * now < was THEN 'refuse' ELSE 'pass' END AS verdict FROM (SELECT o_custkey % 50 AS k, count(*) AS was, sum(CASE WHEN o_orderkey % (2 + o_custkey % 3) = 0 THEN 1 ELSE 0 END) AS now FROM {orders} GROUP BY 1) x""")
 both("q_count_judge", """SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.n IS NULL THEN 'new' WHEN b.n IS NULL THEN 'gone' WHEN b.n < 0.6 * a.n THEN 'fell' WHEN b.n > 2 * a.n THEN 'rose' ELSE 'pass' END AS verdict FROM (SELECT l_suppkey AS k, count(*) AS n FROM {lineitem} WHERE l_linenumber <= 2 GROUP BY 1) a FULL JOIN (SELECT l_suppkey AS k, count(*) AS n FROM {lineitem} WHERE l_linenumber >= 3 GROUP BY 1) b ON a.k = b.k""")
 # Order within a group
-both("q_settle_ids", """SELECT o_custkey, o_orderkey, CASE WHEN row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) = 1 THEN CAST(o_custkey AS STRING) ELSE concat(CAST(o_custkey AS STRING), '-', substr(md5(CAST(o_orderkey AS STRING)), 1, 8)) END AS id FROM {orders}""")
-both("q_stride_sample", """SELECT s_suppkey FROM (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) AS n FROM {supplier}) x WHERE (n - 1) % 3 = 0""")
-both("q_smooth", """SELECT l_orderkey, l_linenumber, round(CASE WHEN a IS NULL OR c IS NULL THEN h ELSE (a + 2 * h + c) / 4 END, 4) AS h FROM (SELECT l_orderkey, l_linenumber, CAST(l_quantity AS DOUBLE) AS h, CAST(lag(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS DOUBLE) AS a, CAST(lead(l_quantity) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_quantity) AS DOUBLE) AS c FROM {lineitem}) x""")
-both("q_steepest_run", """SELECT a.l_orderkey, round(max(abs(CAST(b.l_quantity AS DOUBLE) - a.l_quantity) / (b.l_linenumber - a.l_linenumber)), 4) AS pct FROM {lineitem} a JOIN {lineitem} b ON a.l_orderkey = b.l_orderkey AND b.l_linenumber BETWEEN a.l_linenumber + 2 AND a.l_linenumber + 3 GROUP BY a.l_orderkey""")
-both("q_keep_dates", """SELECT n.o_orderkey, CASE WHEN p.o_orderkey IS NOT NULL AND p.price IS NOT DISTINCT FROM n.price THEN p.day ELSE '2026-01-01' END AS day FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 7 <> 0 THEN o_totalprice END AS price FROM {orders}) n LEFT JOIN (SELECT o_orderkey, o_totalprice AS price, CAST(CAST(o_orderdate AS DATE) AS STRING) AS day FROM {orders} WHERE o_orderkey % 13 <> 0) p ON n.o_orderkey = p.o_orderkey""")
-both("q_pack_by_budget", """SELECT n_nationkey, CAST(floor((run - total) / 20000) AS BIGINT) AS pack FROM (SELECT n_nationkey, total, sum(total) OVER (ORDER BY n_nationkey ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT n_nationkey, count(*) AS total FROM {nation} JOIN {customer} ON c_nationkey = n_nationkey GROUP BY n_nationkey) g) x""")
 
 # Snapshots
 _LATEST = "SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, CASE WHEN event_type = 'error' THEN 0 ELSE 1 END, event_id DESC) AS n FROM events) x WHERE n = 1"
@@ -149,7 +124,7 @@ def q_apply_diff(spark, sf_dir):
 @query(f"WITH {_OLD}, p AS (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS number FROM o) SELECT o_orderkey, CAST(number AS BIGINT) AS number FROM n JOIN p USING (o_orderkey) UNION ALL SELECT o_orderkey, (SELECT max(number) FROM p) + row_number() OVER (ORDER BY o_orderkey) FROM n WHERE o_orderkey NOT IN (SELECT o_orderkey FROM p)")
 def q_stable_number(spark, sf_dir):
     old, new = _snapshots(spark, sf_dir)
-    previous = old.select("o_orderkey", F.row_number().over(Window.orderBy("o_orderkey")).cast("long").alias("number"))
+    previous = ranking.ranked(old.select("o_orderkey"), "o_orderkey", "number")
     return cdc.stable_numbers(new.select("o_orderkey"), previous, "o_orderkey")
 
 
@@ -175,11 +150,3 @@ def q_knn_gauge(spark, sf_dir):
     """Nearest supplier of every customer, NULL beyond 50 km."""
     near = spatial.nearest(_points(t(spark, sf_dir, "customer"), "c_custkey", "l"), _points(t(spark, sf_dir, "supplier"), "s_suppkey", "r"), 50_000)
     return near.select("lid", "rid", F.round("m", 3).alias("m"))
-
-
-@query()
-def q_climb_hysteresis(spark, sf_dir):
-    """Total ascent per order over its lines in order, counting rises above a threshold of 2."""
-    heights = t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sort_array(F.collect_list(F.struct("l_linenumber", "l_quantity"))).alias("h"))
-    h = F.transform("h", lambda x: x["l_quantity"])
-    return heights.select("l_orderkey", climb.total_ascent(h).alias("ascent"))

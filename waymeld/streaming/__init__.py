@@ -1 +1 @@
-"""waymeld streaming."""
+"""Change feeds as Structured Streaming."""
