@@ -23,7 +23,9 @@ CHUNK, STEP, BLOCK = 256, 192, 4
 #: Size of a byte's embedding, filters, hidden units.
 EMBED, FILTERS, HIDDEN = 6, 16, 16
 #: Labelled rows of either class that the network is fitted on, at most, each with its whole text.
-MAX_ROWS, EPOCHS, SEED, THRESHOLD = 900, 8, 3, 0.5
+MAX_ROWS, SEED, THRESHOLD = 900, 3, 0.5
+#: Passes over the rows that the network learns from, and the least number of steps where rows are few.
+EPOCHS, STEPS = 8, 300
 
 
 def chunks(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,8 +104,9 @@ class Network:
                 g["e"][:, k] += np.bincount(seen.ravel(), weights=dz[..., k].ravel(), minlength=256).astype(np.float32)
         return g
 
-    def train(self, texts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, batch: int = 48, rate: float = 0.006) -> None:
+    def train(self, texts: list[np.ndarray], y: np.ndarray, epochs: int = EPOCHS, steps: int = STEPS, batch: int = 48, rate: float = 0.006) -> None:
         """texts: each row's chunks; Adam on small batches in a seeded order."""
+        epochs = max(epochs, math.ceil(steps * batch / len(texts)))
         g = np.random.default_rng(SEED)
         m1, m2, step = {k: np.zeros_like(v) for k, v in self.p.items()}, {k: np.zeros_like(v) for k, v in self.p.items()}, 0
         for epoch in range(epochs):
