@@ -61,7 +61,6 @@ def both(name: str, spark_sql: str, duck_sql: str | None = None) -> None:
 both("q_islands", """SELECT user_id, run, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n FROM (SELECT user_id, event_id, sum(starts) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT user_id, event_id, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS starts FROM {events}) a) b GROUP BY user_id, run""",
      """SELECT user_id, CAST(run AS BIGINT) AS run, min(event_id) AS first_id, max(event_id) AS last_id, count(*) AS n FROM (SELECT user_id, event_id, sum(starts) OVER (PARTITION BY user_id ORDER BY event_id ROWS UNBOUNDED PRECEDING) AS run FROM (SELECT user_id, event_id, CASE WHEN event_type = lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) THEN 0 ELSE 1 END AS starts FROM events) a) b GROUP BY user_id, run""")
 # Aggregates
-both("q_join_pieces", """SELECT l_orderkey, count(*) AS pieces, count(DISTINCT l_quantity) AS distinct_lines, round(sum(DISTINCT l_quantity), 4) AS length, CASE WHEN count(DISTINCT l_shipdate) = 1 THEN min(l_returnflag) END AS said FROM {lineitem} GROUP BY l_orderkey""")
 both("q_distinct_length", """SELECT l_suppkey, round(sum(q), 4) AS km FROM (SELECT DISTINCT l_suppkey, l_partkey, l_quantity AS q FROM {lineitem}) x GROUP BY l_suppkey""")
 both("q_rollup_totals", """SELECT r_name, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 both("q_weighted_mode", """SELECT l_suppkey, l_returnflag AS surface FROM (SELECT l_suppkey, l_returnflag, row_number() OVER (PARTITION BY l_suppkey ORDER BY sum(l_quantity) DESC, l_returnflag) AS n FROM {lineitem} GROUP BY l_suppkey, l_returnflag) x WHERE n = 1""")
@@ -74,11 +73,9 @@ both("q_interval_tolerance", """SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM
 both("q_scrub_pii", """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]') AS clean FROM {documents}""",
      """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]', 'g') AS clean FROM documents""")
 both("q_classify", """SELECT p_partkey, CASE WHEN p_type LIKE '%BRASS%' THEN 'brass' WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_size > 25 THEN 'large' ELSE 'other' END AS kind FROM {part}""")
-both("q_poi_category", """SELECT event_type, count(*) AS n FROM {events} WHERE coalesce(event_type, '') NOT IN ('error', 'private') GROUP BY event_type""")
 both("q_json_explode", """SELECT event_id, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {events}""", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 both("q_match_ref", """SELECT s_suppkey, c_custkey FROM (SELECT s_suppkey, regexp_replace(regexp_extract(s_name, '[0-9]+', 0), '^0+', '') AS ref FROM {supplier}) s JOIN (SELECT c_custkey, regexp_replace(regexp_extract(c_name, '[0-9]+', 0), '^0+', '') AS ref FROM {customer}) c ON s.ref = c.ref""")
 both("q_html_text", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' '), '[ \\n\\t]+', ' ')) AS body FROM {pages}""", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \n\t]+', ' ', 'g')) AS body FROM pages""")
-both("q_council_union", """SELECT k, max(src) AS src FROM (SELECT c_custkey AS k, 'a' AS src FROM {customer} UNION ALL SELECT s_suppkey, 'b' FROM {supplier}) x GROUP BY k""")
 
 # Grouped summaries, bands and gates
 both("q_validity", """SELECT o_custkey, CAST(CAST(min(o_orderdate) AS DATE) AS STRING) AS start_on, CASE WHEN max(CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END) = 0 THEN CAST(CAST(max(o_orderdate) AS DATE) AS STRING) END AS end_on FROM {orders} GROUP BY o_custkey""")

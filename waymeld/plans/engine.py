@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymeld.functions import climb, dates, geo, text, wet
-from waymeld.operators import cdc, gates, lines, orders, ranking, readings
+from waymeld.operators import cdc, gates, lines, orders, ranking, readings, registers
 from waymeld.plans.catalog import query, t
 
 TODAY = "1995-06-17"
@@ -318,3 +318,105 @@ def q_line_twins(spark, sf_dir):
     copies = ways.withColumn("line", F.transform("line", lambda p: F.struct(p["x"].alias("x"), (p["y"] + moved).alias("y"))))
     both = ways.select((F.col("k") * 2).alias("k"), "line").unionByName(copies.select((F.col("k") * 2 + 1).alias("k"), "line"))
     return lines.twins(both, "k", "line").select("a", "b")
+
+
+# Registers
+@query("""WITH d AS (SELECT l_orderkey, l_quantity AS q, max(CASE WHEN l_linenumber <> 6 THEN l_quantity END) AS m, list(l_linenumber) AS ids, min(l_returnflag) AS s0, max(l_returnflag) AS s1 FROM lineitem GROUP BY 1, 2)
+SELECT l_orderkey, CAST(sum(len(ids)) AS BIGINT) AS pieces, count(*) AS lines, round(CASE WHEN count(m) = count(*) THEN sum(m) END, 4) AS length, CASE WHEN min(s0) = max(s1) THEN min(s0) END AS said FROM d GROUP BY 1""")
+def q_join_pieces(spark, sf_dir):
+    """Pieces of one way: distinct lines once, length null if any is unknown, words only if all agree."""
+    q = F.col("l_quantity").cast("double")
+    rows = t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", F.array(F.struct(q.alias("x"), q.alias("y"))).alias("line"), F.when(F.col("l_linenumber") != 6, q).alias("m"))
+    out = registers.joined(rows, ["l_orderkey"], "l_linenumber", "line", "m", "l_returnflag")
+    return out.select("l_orderkey", F.size("pieces").cast("bigint").alias("pieces"), F.size("lines").cast("bigint").alias("lines"), F.round("length", 4).alias("length"), "said")
+
+
+@query("SELECT c_mktsegment, min(c_custkey) AS c_custkey, count(*) - 1 AS also FROM customer GROUP BY c_mktsegment, c_nationkey, c_custkey % 3")
+def q_exact_twins(spark, sf_dir):
+    """Rows whose line another row of the same segment and nation has too."""
+    line = F.array(F.struct((F.col("c_custkey") % 3).cast("double").alias("x"), F.lit(1.0).alias("y")))
+    out = registers.exact_twins(t(spark, sf_dir, "customer").withColumn("line", line), ["c_mktsegment", "c_nationkey"], "c_custkey", "line")
+    return out.select("c_mktsegment", "c_custkey", F.size("also").cast("bigint").alias("also"))
+
+
+@query(f"""WITH b AS ({_WAY('supplier', 's_suppkey', 2)}), m AS (SELECT k, i, lon * 111320 * cos(radians(lat)) AS x, lat * 110574 AS y FROM b),
+s AS (SELECT k, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM m WINDOW w AS (PARTITION BY k ORDER BY i)),
+c AS (SELECT c_custkey, (-5.0 + (c_custkey * 37 % 700) / 100.0 + 0.0004) * 111320 * cos(radians(50.0 + (c_custkey * 53 % 550) / 100.0 + 0.0003)) AS x, (50.0 + (c_custkey * 53 % 550) / 100.0 + 0.0003) * 110574 AS y FROM customer),
+d AS (SELECT c_custkey, k, greatest(0, least(1, ((x - ax) * (bx - ax) + (y - ay) * (by_ - ay)) / (pow(bx - ax, 2) + pow(by_ - ay, 2)))) AS u, x, y, ax, ay, bx, by_ FROM c JOIN s ON bx IS NOT NULL AND abs(x - ax) < 500 AND abs(y - ay) < 500),
+f AS (SELECT c_custkey, k, sqrt(pow(x - (ax + u * (bx - ax)), 2) + pow(y - (ay + u * (by_ - ay)), 2)) AS m FROM d)
+SELECT c.c_custkey, arg_min(f.k, f.m) AS k, round(min(f.m), 3) AS m FROM c LEFT JOIN f ON f.c_custkey = c.c_custkey AND f.m <= 25 GROUP BY 1""")
+def q_nearest_line(spark, sf_dir):
+    """The supplier's way that passes each customer within 25 metres."""
+    k = F.col("c_custkey")
+    points = t(spark, sf_dir, "customer").select("c_custkey", (F.lit(-5.0) + (k * 37 % 700) / 100.0 + 0.0004).alias("lon"), (F.lit(50.0) + (k * 53 % 550) / 100.0 + 0.0003).alias("lat"))
+    out = registers.nearest_line(points, _ways(t(spark, sf_dir, "supplier"), "s_suppkey", 2), "c_custkey", "lon", "lat", "k", "line")
+    return out.select("c_custkey", "k", F.round("m", 3).alias("m"))
+
+
+@query("""WITH g AS (SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_custkey % 10 = 3 AND s_suppkey = c_custkey % 97 + 1), r AS (SELECT c_custkey, s_suppkey FROM customer JOIN supplier ON c_nationkey = s_nationkey AND c_custkey % 4 <> 0 AND s_suppkey <= 20)
+SELECT c.c_custkey, coalesce(g.s_suppkey, r.s_suppkey) AS s_suppkey, CASE WHEN g.c_custkey IS NOT NULL THEN CASE WHEN EXISTS (SELECT 1 FROM r x WHERE x.c_custkey = c.c_custkey) AND NOT EXISTS (SELECT 1 FROM r x WHERE x.c_custkey = c.c_custkey AND x.s_suppkey = g.s_suppkey) THEN 'review' ELSE 'place' END WHEN r.c_custkey IS NOT NULL THEN 'reference' ELSE 'unmatched' END AS how
+FROM customer c LEFT JOIN g USING (c_custkey) LEFT JOIN r ON r.c_custkey = c.c_custkey AND g.c_custkey IS NULL""")
+def q_match_cascade(spark, sf_dir):
+    """Ways by place, else by reference; what does not agree is for review."""
+    c, s = t(spark, sf_dir, "customer"), t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    place = c.filter("c_custkey % 10 = 3").join(s, F.col("s_suppkey") == F.col("c_custkey") % 97 + 1).select("c_custkey", "s_suppkey")
+    reference = c.filter("c_custkey % 4 <> 0").join(s.filter("s_suppkey <= 20"), F.col("c_nationkey") == F.col("s_nationkey")).select("c_custkey", "s_suppkey")
+    return registers.matched(c, "c_custkey", place, reference, "s_suppkey")
+
+
+@query("""WITH RECURSIVE l AS (SELECT 'p' || o_custkey AS file, o_orderkey AS f, o_orderkey + CASE WHEN o_orderkey % 5 = 0 THEN 3 ELSE 1 END AS t FROM orders), p AS (SELECT file, max(t) AS b FROM l GROUP BY 1),
+r AS (SELECT file, b FROM p UNION SELECT l.file, l.f FROM l JOIN r ON l.file = r.file AND l.t = r.b) SELECT l.file, l.f AS "from", l.t AS "to" FROM l JOIN r ON l.file = r.file AND l.t = r.b""")
+def q_reaching_links(spark, sf_dir):
+    """Links of builds from which a chain leads to the published one."""
+    k = F.col("o_orderkey")
+    links = t(spark, sf_dir, "orders").select(F.concat(F.lit("p"), "o_custkey").alias("file"), k.alias("from"), (k + F.when(k % 5 == 0, 3).otherwise(1)).alias("to"))
+    return registers.reaching(links, links.groupBy("file").agg(F.max("to").alias("build")))
+
+
+@query("""SELECT d + to_hours(h) + to_minutes(30) AS at FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '1996-12-30', INTERVAL 1 DAY) AS g(d), (SELECT unnest([3, 9, 15]) AS h)
+WHERE month(d) IN (1, 2, 3, 6) AND (day(d) IN (1, 11, 21, 31) OR dayofweek(d) IN (1, 2))""")
+def q_cron_times(spark, sf_dir):
+    """Every firing of a cron line in two years."""
+    return registers.firing(spark, "30 3-15/6 */10 1-3,6 1,2", "1995-01-01", 730).select(F.col("at").cast("timestamp_ntz").alias("at"))
+
+
+@query(f"""WITH d AS (SELECT o_orderstatus, CASE WHEN o_orderkey % 20 <> 0 THEN DATE '{TODAY}' - CAST(o_orderdate AS DATE) END AS raw FROM orders), a AS (SELECT o_orderstatus, raw, CASE WHEN raw IS NOT NULL THEN greatest(raw, 0) END AS age FROM d),
+v AS (SELECT o_orderstatus, list_sort(list(age) FILTER (age IS NOT NULL)) AS v, count(*) AS rows, count(raw) AS dated, count(*) FILTER (raw < 0) AS future_dated, count(*) FILTER (age > 365) AS over_year FROM a GROUP BY 1)
+SELECT o_orderstatus, rows, dated, rows - dated AS unknown, future_dated, over_year, CAST(v[1] AS INT) AS newest, CAST(v[greatest(1, CAST(round_even(len(v) * 0.5, 0) AS INT))] AS INT) AS median, CAST(v[greatest(1, CAST(round_even(len(v) * 90 / 100.0, 0) AS INT))] AS INT) AS p90, CAST(v[len(v)] AS INT) AS oldest FROM v""")
+def q_age_summary(spark, sf_dir):
+    rows = t(spark, sf_dir, "orders").withColumn("day", F.when(F.col("o_orderkey") % 20 != 0, F.date_format("o_orderdate", "yyyy-MM-dd")))
+    return registers.age_summary(rows, ["o_orderstatus"], "day", F.lit(TODAY).cast("date"))
+
+
+@query("""SELECT p_partkey, CASE WHEN p_size % 4 = 1 THEN 'experimental' WHEN p_size % 4 = 2 OR p_partkey % 3 = 0 THEN 'seasonal' ELSE 'permanent' END AS form,
+ CASE p_partkey % 5 WHEN 0 THEN 'prohibition' WHEN 1 THEN 'width' WHEN 2 THEN 'speed' WHEN 3 THEN 'other' ELSE 'other' END AS kind FROM part""")
+def q_order_forms(spark, sf_dir):
+    """Form and kind of orders from their titles, dates and codes."""
+    k, n = F.col("p_partkey"), F.col("p_size") % 4
+    title = F.when(n == 1, "The Road (EXPERIMENTAL) Temporary Order").when(n == 2, "Seasonal closure").when(n == 3, "Experimentally named")
+    day = F.when(k % 3 == 0, "2026-01-01")
+    code = F.when(k % 5 == 0, "miscRoadClosure").when(k % 5 == 1, "dimensionMaximumWidth").when(k % 5 == 2, "speedLimitValueBased").when(k % 5 == 3, "kerbside")
+    return t(spark, sf_dir, "part").select("p_partkey", registers.order_form(title, day, day).alias("form"), registers.order_type(code).alias("kind"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 'water' WHEN event_id % 4 IN (1, 2) THEN 'fuel' END AS category, event_id % 3 <> 1 AS usable FROM events""")
+def q_poi_category(spark, sf_dir):
+    """First category whose selector is among an element's tags, and whether anyone may use it."""
+    k = F.col("event_id")
+    tags = F.map_filter(F.create_map(F.lit("amenity"), F.when(k % 4 < 3, F.when(k % 2 == 1, "fuel").otherwise("drinking_water")), F.lit("shop"), F.when(k % 4 == 2, "fuel"), F.lit("access"), F.when(k % 3 == 1, F.when(k % 2 == 0, "no").otherwise("private")).when(k % 3 == 2, "yes")), lambda a, b: b.isNotNull())
+    tags = F.when(k % 4 == 2, F.map_filter(tags, lambda a, b: a != "amenity")).otherwise(tags)
+    rules = [("water", [("amenity", "drinking_water")]), ("fuel", [("amenity", "fuel"), ("shop", "fuel")])]
+    return t(spark, sf_dir, "events").select("event_id", registers.first_category(tags, rules).alias("category"), registers.usable(tags).alias("usable"))
+
+
+@query("""WITH f AS (SELECT o_orderkey, o_custkey % 40 AS tra, CAST(o_orderdate AS DATE) AS start_on, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) + 30 END AS end_on, o_orderkey % 6 AS spot FROM orders WHERE o_orderkey % 2 = 0),
+c AS (SELECT o_orderkey, o_custkey % 40 AS tra, CAST(o_orderdate AS DATE) + 1 AS start_on, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(o_orderdate AS DATE) + 40 END AS end_on, o_orderkey % 6 AS spot FROM orders WHERE o_orderkey % 2 = 1)
+SELECT o_orderkey FROM c WHERE NOT EXISTS (SELECT 1 FROM f WHERE f.tra = c.tra AND (f.end_on IS NULL) = (c.end_on IS NULL) AND abs(f.start_on - c.start_on) <= 3 AND (f.end_on IS NULL OR abs(f.end_on - c.end_on) <= 14) AND (f.spot + 1) // 2 = (c.spot + 1) // 2)""")
+def q_council_fold(spark, sf_dir):
+    """Council orders that the feed does not have: same authority, dates near, places overlapping."""
+    k, d = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    base = t(spark, sf_dir, "orders")
+    spot = F.floor((k % 6 + 1) / 2) * 0.01
+    line = F.array(F.struct((spot - 1).alias("x"), F.lit(52.0).alias("y")), F.struct((spot - 0.999).alias("x"), (F.lit(52.0) + (k % 2) * 0.00005).alias("y")))
+    common = lambda rows, a, b: rows.select("o_orderkey", (F.col("o_custkey") % 40).alias("tra"), F.lit("prohibition").alias("kind"), F.date_add(d, a).alias("start"), F.when(k % 3 != 0, F.date_add(d, b)).alias("end"), F.lit("permanent").alias("form"), line.alias("line"), F.array(k.cast("string")).alias("ways"))
+    return registers.folded(common(base.filter("o_orderkey % 2 = 1"), 1, 40), common(base.filter("o_orderkey % 2 = 0"), 0, 30), "o_orderkey")[0].select("o_orderkey")
