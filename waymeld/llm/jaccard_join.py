@@ -62,7 +62,8 @@ def segment_keys(shingles: np.ndarray, band: int, most: int, own: bool, percent:
     # As many reserve segments as costly ones are to be expected among m, and some more.
     spare = min(m, 1 + int(1.3 * m * math.exp(-load) * (1 + load)))
     cheap = np.flatnonzero(filled[:spare] > costly)
-    skip = (np.flatnonzero(filled[spare:] <= costly) + spare)[: len(cheap)]
+    # Of the costly segments the emptiest, whose buckets are the largest, are left out first.
+    skip = np.argsort(filled, kind="stable")[: np.count_nonzero(filled <= costly)][: len(cheap)]
     seen = np.ones(m, dtype=bool)
     seen[skip] = False
     searched = np.zeros(m, dtype=bool)
