@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Folder name of this process's tables.
+RUN = uuid.uuid4().hex
 #: A word is a run of anything but space and the five control blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -20,7 +22,14 @@ def scratch(spark: SparkSession) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="waymeld-")
         spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/waymeld-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/waymeld-{RUN}/{uuid.uuid4().hex}"
+
+
+def cleaned(spark: SparkSession) -> None:
+    """Removes every table that this process has written to the shared folder; results that read them must be stored first."""
+    run = scratch(spark).rsplit("/", 1)[0]
+    path = spark._jvm.org.apache.hadoop.fs.Path(run)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def written(df: DataFrame, partitions: int | None = None) -> DataFrame:
