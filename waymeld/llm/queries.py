@@ -14,4 +14,4 @@ QUERIES = {
     "op7_template_leaks": decontaminate.op7_template_leaks,
     "op8_preference_chat": preference_chat.op8_preference_chat,
 }
-ORACLE = {"op6_exact_dedup": exact_dedup.SQL, "op8_preference_chat": preference_chat.SQL}
+ORACLE = {"op4_jaccard_groups": jaccard_join.SQL, "op6_exact_dedup": exact_dedup.SQL, "op8_preference_chat": preference_chat.SQL}
