@@ -169,6 +169,15 @@ def same_place(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(a, b)])
 
 
+def _boxes_meet(a: Column, b: Column, metres: float) -> Column:
+    """Whether the boxes of two lines, one grown by `metres`, have a place in common."""
+    side = lambda line, axis, end: (F.array_max if end else F.array_min)(F.transform(line, lambda p: p[axis]))
+    lat = metres / geo.LAT_M
+    lon = metres / (geo.LON_M * F.greatest(F.cos(F.radians(F.greatest(F.abs(side(a, "y", 1)), F.abs(side(a, "y", 0))) + lat)), F.lit(1e-6)))
+    meet = lambda axis, pad: (side(a, axis, 0) - pad <= side(b, axis, 1)) & (side(b, axis, 0) - pad <= side(a, axis, 1))
+    return meet("y", lat) & meet("x", lon)
+
+
 def folded(council: DataFrame, feed: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """council without the orders that the feed has too, and feed with `also`, the keys of those, and `ways` of both.
 
@@ -181,8 +190,8 @@ def folded(council: DataFrame, feed: DataFrame, key: str) -> tuple[DataFrame, Da
     b = feed.select(F.col(key).alias("bk"), "tra", "kind", F.col("start").alias("b_start"), F.col("end").alias("b_end"), F.col("form").alias("b_form"), F.col("line").alias("b_line"))
     spread = a.withColumn("slot", F.explode(F.when(F.col("a_end").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(F.transform(F.array(*[F.lit(k) for k in (-1, 0, 1)]), lambda k: slot(F.col("a_end"), 15) + k))))
     pairs = spread.join(b.withColumn("slot", slot(F.col("b_end"), 15)), ["tra", "kind", "slot"]).filter(same_dates(F.col("a_start"), F.col("a_end"), F.col("a_form"), F.col("b_start"), F.col("b_end"), F.col("b_form")))
-    # An order folds into one twin only, the one with the least key.
-    twins = pairs.filter(same_place("a_line", "b_line")).groupBy("ak").agg(F.min("bk").alias("bk"), F.first("a_ways").alias("a_ways"))
+    # Boxes that lie apart are settled before lines leave the JVM. An order folds into one twin only, the one with the least key.
+    twins = pairs.filter(_boxes_meet(F.col("a_line"), F.col("b_line"), 25.0)).filter(same_place("a_line", "b_line")).groupBy("ak").agg(F.min("bk").alias("bk"), F.first("a_ways").alias("a_ways"))
     taken = twins.groupBy(F.col("bk").alias(key)).agg(F.sort_array(F.collect_list("ak")).alias("also"), F.flatten(F.collect_list("a_ways")).alias("_more"))
     more = feed.join(taken, key, "left").withColumn("ways", F.when(F.col("_more").isNotNull(), F.sort_array(F.array_union(F.coalesce("ways", F.array().cast("array<string>")), "_more"))).otherwise(F.col("ways"))).drop("_more")
     return council.join(twins.select(F.col("ak").alias(key)), key, "left_anti"), more
