@@ -257,3 +257,27 @@ def age_summary(df: DataFrame, by: list[str], date: str, today: Column) -> DataF
 def next_stamp(published: Column, candidate: Column, now: Column) -> Column:
     """The time a changed build carries: its own if later than the published one, else now, and never the published one's or before."""
     return F.when(published.isNull() | (candidate > published), F.coalesce(candidate, now)).otherwise(F.greatest(now, published + F.expr("INTERVAL 1 SECOND")))
+
+
+def near_in_time(df: DataFrame, key: str, row: str, at: str, days: int) -> DataFrame:
+    """a, b (a < b): rows of one key whose dates are at most `days` apart.
+
+    Rows are dealt to buckets of days + 1, one side to the next bucket too, so a key with very many rows meets only
+    what is near in time.
+    """
+    slot = F.floor(F.datediff(F.col(at), F.lit("1970-01-01").cast("date")) / (days + 1))
+    one = df.filter(F.col(at).isNotNull()).select(key, F.col(row).alias("a"), F.col(at).alias("_at"), slot.alias("_s"))
+    two = one.select(key, F.col("a").alias("b"), F.col("_at").alias("_bt"), F.explode(F.array(*[F.col("_s") + k for k in (-1, 0, 1)])).alias("_s"))
+    return one.join(two, [key, "_s"]).filter((F.col("a") < F.col("b")) & (F.abs(F.datediff("_at", "_bt")) <= days)).select("a", "b")
+
+
+def in_boxes(points: DataFrame, lon: str, lat: str, boxes: DataFrame, name: str, cell: float = 1.0) -> DataFrame:
+    """points with `name` of each box (west, south, east, north) that holds them, edges included; a point may be in several.
+
+    Boxes are dealt to the cells they cover, so points meet only the boxes of their own cell.
+    """
+    span = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / cell), F.floor(F.col(b) / cell)))
+    dealt = boxes.select(name, "west", "south", "east", "north").withColumn("_x", span("west", "east")).withColumn("_y", span("south", "north"))
+    asked = points.withColumn("_x", F.floor(F.col(lon) / cell)).withColumn("_y", F.floor(F.col(lat) / cell))
+    inside = F.col(lon).between(F.col("west"), F.col("east")) & F.col(lat).between(F.col("south"), F.col("north"))
+    return asked.join(dealt, ["_x", "_y"]).filter(inside).select(*points.columns, name)

@@ -65,14 +65,10 @@ both("q_distinct_length", """SELECT l_suppkey, round(sum(q), 4) AS km FROM (SELE
 both("q_rollup_totals", """SELECT r_name, n_name, count(*) AS n, round(sum(c_acctbal), 2) AS total FROM {customer} JOIN {nation} ON c_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey GROUP BY ROLLUP (r_name, n_name)""")
 both("q_weighted_mode", """SELECT l_suppkey, l_returnflag AS surface FROM (SELECT l_suppkey, l_returnflag, row_number() OVER (PARTITION BY l_suppkey ORDER BY sum(l_quantity) DESC, l_returnflag) AS n FROM {lineitem} GROUP BY l_suppkey, l_returnflag) x WHERE n = 1""")
 both("q_all_types_present", """SELECT c_nationkey FROM {customer} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') GROUP BY c_nationkey HAVING count(DISTINCT c_mktsegment) = 3""")
-both("q_region_boxes", """SELECT b.box, count(*) AS n FROM (SELECT c_custkey, -5.0 + (c_custkey * 37 % 700) / 100.0 AS lon FROM {customer}) c JOIN (SELECT 'west' AS box, -5.0 AS lo, -1.0 AS hi UNION ALL SELECT 'mid', -2.0, 1.0 UNION ALL SELECT 'east', 0.0, 2.0) b ON lon BETWEEN lo AND hi GROUP BY b.box""")
 both("q_not_exists", """SELECT c_custkey FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 5 = 0)""")
-both("q_interval_tolerance", """SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM {orders} a JOIN {orders} b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND abs(datediff(a.o_orderdate, b.o_orderdate)) <= 3""",
-     """SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND abs(date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE))) <= 3""")
 # Text, references, documents
 both("q_scrub_pii", """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]') AS clean FROM {documents}""",
      """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]', 'g') AS clean FROM documents""")
-both("q_classify", """SELECT p_partkey, CASE WHEN p_type LIKE '%BRASS%' THEN 'brass' WHEN p_type LIKE '%STEEL%' THEN 'steel' WHEN p_size > 25 THEN 'large' ELSE 'other' END AS kind FROM {part}""")
 both("q_json_explode", """SELECT event_id, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {events}""", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 both("q_match_ref", """SELECT s_suppkey, c_custkey FROM (SELECT s_suppkey, regexp_replace(regexp_extract(s_name, '[0-9]+', 0), '^0+', '') AS ref FROM {supplier}) s JOIN (SELECT c_custkey, regexp_replace(regexp_extract(c_name, '[0-9]+', 0), '^0+', '') AS ref FROM {customer}) c ON s.ref = c.ref""")
 both("q_html_text", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' '), '[ \\n\\t]+', ' ')) AS body FROM {pages}""", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \n\t]+', ' ', 'g')) AS body FROM pages""")

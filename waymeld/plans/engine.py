@@ -420,3 +420,29 @@ def q_council_fold(spark, sf_dir):
     line = F.array(F.struct((spot - 1).alias("x"), F.lit(52.0).alias("y")), F.struct((spot - 0.999).alias("x"), (F.lit(52.0) + (k % 2) * 0.00005).alias("y")))
     common = lambda rows, a, b: rows.select("o_orderkey", (F.col("o_custkey") % 40).alias("tra"), F.lit("prohibition").alias("kind"), F.date_add(d, a).alias("start"), F.when(k % 3 != 0, F.date_add(d, b)).alias("end"), F.lit("permanent").alias("form"), line.alias("line"), F.array(k.cast("string")).alias("ways"))
     return registers.folded(common(base.filter("o_orderkey % 2 = 1"), 1, 40), common(base.filter("o_orderkey % 2 = 0"), 0, 30), "o_orderkey")[0].select("o_orderkey")
+
+
+@query("SELECT a.o_orderkey AS a, b.o_orderkey AS b FROM orders a JOIN orders b ON a.o_custkey = b.o_custkey AND a.o_orderkey < b.o_orderkey AND abs(date_diff('day', CAST(b.o_orderdate AS DATE), CAST(a.o_orderdate AS DATE))) <= 3")
+def q_interval_tolerance(spark, sf_dir):
+    """Orders of one customer at most three days apart."""
+    return registers.near_in_time(t(spark, sf_dir, "orders").withColumn("day", F.col("o_orderdate").cast("date")), "o_custkey", "o_orderkey", "day", 3)
+
+
+@query("""SELECT box, count(*) AS n FROM (SELECT -5.0 + (c_custkey * 37 % 700) / 100.0 AS lon, 50.0 + (c_custkey * 53 % 550) / 100.0 AS lat FROM customer),
+(VALUES ('west', -5.0, 49.0, -1.0, 56.0), ('mid', -2.0, 50.5, 1.0, 53.25), ('east', 0.0, 52.0, 2.5, 52.0), ('none', 9.0, 9.0, 9.5, 9.5)) AS b(box, w, s, e, n) WHERE lon BETWEEN w AND e AND lat BETWEEN s AND b.n GROUP BY 1""")
+def q_region_boxes(spark, sf_dir):
+    """Customers by the regions that hold them; a place may be in several."""
+    k = F.col("c_custkey")
+    points = t(spark, sf_dir, "customer").select("c_custkey", (F.lit(-5.0) + (k * 37 % 700) / 100.0).alias("lon"), (F.lit(50.0) + (k * 53 % 550) / 100.0).alias("lat"))
+    boxes = spark.createDataFrame([("west", -5.0, 49.0, -1.0, 56.0), ("mid", -2.0, 50.5, 1.0, 53.25), ("east", 0.0, 52.0, 2.5, 52.0), ("none", 9.0, 9.0, 9.5, 9.5)], "box string, west double, south double, east double, north double")
+    return registers.in_boxes(points, "lon", "lat", boxes, "box").groupBy("box").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT p_partkey, CASE p_partkey % 6 WHEN 0 THEN 'motor_vehicles_except_motorcycles' WHEN 1 THEN 'vehicles_over_width' WHEN 2 THEN 'all_vehicles' WHEN 3 THEN 'motor_vehicles' WHEN 4 THEN 'motor_vehicles' END AS vehicles,
+ CASE WHEN p_partkey % 6 = 1 THEN 1 + p_size / 10.0 END AS width_m FROM part""")
+def q_classify(spark, sf_dir):
+    """Whom an order's words shut out, and above which width."""
+    k = F.col("p_partkey") % 6
+    words = F.when(k == 0, "Prohibition of motor vehicles other than solo motorcycles").when(k == 1, F.concat(F.lit("All vehicles of a WIDTH exceeding "), (F.col("p_size") / 10.0 + 1).cast("string"), F.lit("m"))).when(k == 2, "Closed to any traffic").when(
+        k == 3, "no Motor Vehicle may pass").when(k == 4, "Prohibition of Driving order").otherwise("Gate locked at night")
+    return t(spark, sf_dir, "part").select("p_partkey", text.vehicles(words).alias("v")).select("p_partkey", "v.vehicles", "v.width_m")
