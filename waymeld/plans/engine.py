@@ -64,8 +64,8 @@ def q_reference_keys(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", text.number_key(number).alias("number"), text.parish_key(parish).alias("parish"))
 
 
-@query("""SELECT s_suppkey, CASE s_suppkey % 4 WHEN 0 THEN 500000 WHEN 1 THEN 400000 ELSE 300000 END + s_suppkey * 7 % 1000 * 100 + 50.0 AS easting,
- CASE s_suppkey % 4 WHEN 0 THEN 100000 WHEN 1 THEN 300000 WHEN 2 THEN 400000 ELSE 500000 END + s_suppkey * 13 % 1000 * 100 + 50.0 AS northing FROM supplier""")
+@query("""SELECT s_suppkey, CAST(CASE s_suppkey % 4 WHEN 0 THEN 500000 WHEN 1 THEN 400000 ELSE 300000 END + s_suppkey * 7 % 1000 * 100 + 50 AS DOUBLE) AS easting,
+ CAST(CASE s_suppkey % 4 WHEN 0 THEN 100000 WHEN 1 THEN 300000 WHEN 2 THEN 400000 ELSE 500000 END + s_suppkey * 13 % 1000 * 100 + 50 AS DOUBLE) AS northing FROM supplier""")
 def q_grid_reference(spark, sf_dir):
     """Six-figure references of four squares as metres."""
     k = F.col("s_suppkey")
@@ -266,7 +266,7 @@ def q_tile_bucket(spark, sf_dir):
     return t(spark, sf_dir, "customer").select("c_custkey", F.floor(geo.tile_x(F.lit(-5.0) + (k * 37 % 700) / 100.0, 12)).alias("x"), F.floor(geo.tile_y(F.lit(50.0) + (k * 53 % 550) / 100.0, 12)).alias("y"))
 
 
-@query("SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN 'MULTILINESTRING' ELSE 'LINESTRING' END AS kind, CASE WHEN l_orderkey % 3 = 0 THEN count(*) ELSE 1 END AS parts, 2 * count(*) AS points, round(sum(l_linenumber * 3 + 1.5), 2) AS xs FROM lineitem GROUP BY 1")
+@query("SELECT l_orderkey, CASE WHEN l_orderkey % 3 = 0 THEN 'MULTILINESTRING' ELSE 'LINESTRING' END AS kind, CASE WHEN l_orderkey % 3 = 0 THEN count(*) ELSE 1 END AS parts, 2 * count(*) AS points, CAST(sum(l_linenumber * 3 + 1.5) AS DOUBLE) AS xs FROM lineitem GROUP BY 1")
 def q_wkt(spark, sf_dir):
     """Well-known text of an order's lines, read back; the multi forms keep their parts apart."""
     run = F.format_string("%d 10.25, %s 20", F.col("l_linenumber") * 2, (F.col("l_linenumber") + 1.5).cast("string"))
@@ -303,7 +303,7 @@ def q_coverage_share(spark, sf_dir):
     return out.select("k", F.round("share", 4).alias("share"))
 
 
-@query("SELECT k, 1 AS runs FROM (SELECT c_custkey AS k FROM customer)")
+@query("SELECT k, CAST(1 AS BIGINT) AS runs FROM (SELECT c_custkey AS k FROM customer)")
 def q_uncovered_runs(spark, sf_dir):
     """Each customer's way is longer than any supplier's, so one run of it lies along none."""
     out = lines.uncovered_runs(_ways(t(spark, sf_dir, "customer"), "c_custkey", 4), _ways(t(spark, sf_dir, "supplier"), "s_suppkey", 2), "k", "line")
