@@ -231,3 +231,84 @@ def line_to_wgs84(line: pd.Series) -> pd.Series:
         new[1:] = (np.diff(lon) != 0) | (np.diff(lat) != 0)
         return [{"x": float(x), "y": float(y)} for x, y in zip(lon[new], lat[new])]
     return line.map(one, na_action="ignore")
+
+
+#: Units per degree of packed lines, and metres between points of a resampled one.
+PACKED, EVERY_M = 10**7, 25.0
+
+
+def _bytes_of(n: np.ndarray) -> bytes:
+    """Whole numbers written seven bits a byte, least first."""
+    n = n.astype(np.uint64)
+    size = np.ones(len(n), dtype=np.int64)
+    for k in range(1, 10):
+        size += n >> np.uint64(7 * k) > 0
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out = (np.repeat(n, size) >> (7 * place).astype(np.uint64) & np.uint64(127)).astype(np.uint8)
+    return (out | np.where(place < np.repeat(size, size) - 1, 128, 0).astype(np.uint8)).tobytes()
+
+
+def boxed(parts: Column) -> Column:
+    """Lines each in a struct `p`, since arrays of arrays of unequal lengths do not reach pandas."""
+    return F.transform(parts, lambda line: F.struct(line.alias("p")))
+
+
+def pack_lines(parts: Column | str) -> Column:
+    """Lines as bytes: how many, and of each the number of its points and the signed steps from point to point, to seven places. `unpack_lines` undoes it; a null line counts as empty."""
+    return _pack_lines(boxed(F.col(parts) if isinstance(parts, str) else parts))
+
+
+@F.pandas_udf(T.BinaryType())
+def _pack_lines(parts: pd.Series) -> pd.Series:
+    def one(lines) -> bytes:
+        numbers = [np.array([len(lines)])]
+        for boxed_line in lines:
+            line = boxed_line["p"] if boxed_line["p"] is not None else []
+            at = np.rint(np.array([(p["x"], p["y"]) for p in line], dtype=float).reshape(-1, 2) * PACKED).astype(np.int64)
+            steps = np.diff(at, axis=0, prepend=np.zeros((1, 2), dtype=np.int64)).ravel()
+            numbers += [np.array([len(line)]), (steps << 1) ^ (steps >> 63)]
+        return _bytes_of(np.concatenate(numbers))
+
+    return parts.map(one, na_action="ignore")
+
+
+@F.pandas_udf(T.ArrayType(LINE_TYPE))
+def unpack_lines(body: pd.Series) -> pd.Series:
+    """The lines of `pack_lines`. Bytes that end too early give null."""
+    def one(packed: bytes) -> list | None:
+        b = np.frombuffer(packed, dtype=np.uint8)
+        last = np.flatnonzero(b < 128)
+        if not len(last):
+            return None
+        first = np.concatenate(([0], last[:-1] + 1))
+        place = np.arange(last[-1] + 1) - np.repeat(first, last - first + 1)
+        n = np.add.reduceat((b[: last[-1] + 1] & 127).astype(np.uint64) << (7 * place).astype(np.uint64), first).astype(np.int64)
+        out, at = [], 1
+        for _ in range(n[0]):
+            if at >= len(n) or at + 1 + 2 * n[at] > len(n):
+                return None
+            steps = n[at + 1 : at + 1 + 2 * n[at]]
+            xy = np.cumsum((steps >> 1 ^ -(steps & 1)).reshape(-1, 2), axis=0) / PACKED
+            out.append([{"x": x, "y": y} for x, y in xy.tolist()])
+            at += 1 + 2 * n[at]
+        return out
+
+    return body.map(one, na_action="ignore")
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y", "d")])))
+def resampled(line: pd.Series) -> pd.Series:
+    """Points every EVERY_M along a line with their distance from its start; its own end is always the last."""
+    def one(points) -> list:
+        p = np.array([(q["x"], q["y"]) for q in points], dtype=float).reshape(-1, 2)
+        if len(p) < 2:
+            return [{"x": x, "y": y, "d": 0.0} for x, y in p.tolist()]
+        lon, lat = np.radians(p[:, 0]), np.radians(p[:, 1])
+        h = np.sin(np.diff(lat) / 2) ** 2 + np.cos(lat[:-1]) * np.cos(lat[1:]) * np.sin(np.diff(lon) / 2) ** 2
+        ends = np.concatenate(([0.0], np.cumsum(2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(1.0, h))))))
+        at = np.arange(0.0, ends[-1], EVERY_M) if ends[-1] > 0 else np.zeros(1)
+        at = np.append(at[at <= ends[-1] - 1e-9] if ends[-1] > 0 else at, [ends[-1]] if ends[-1] > 0 else [])
+        moved = np.concatenate(([True], np.diff(ends) > 0))
+        return [{"x": x, "y": y, "d": d} for x, y, d in zip(np.interp(at, ends[moved], p[moved, 0]).tolist(), np.interp(at, ends[moved], p[moved, 1]).tolist(), at.tolist())]
+
+    return line.map(one, na_action="ignore")

@@ -85,3 +85,33 @@ def top(df: DataFrame, key: str, n: int) -> DataFrame:
 def newest(df: DataFrame, key: str, *order: Column, keep: int = 6) -> DataFrame:
     """The first `keep` rows of each key in the given order."""
     return df.withColumn("_n", F.row_number().over(W.partitionBy(key).orderBy(*order))).filter(F.col("_n") <= keep).drop("_n")
+
+
+def disagreeing(records: DataFrame, drawn: DataFrame, area: str, uid: str, late: Column | None = None) -> DataFrame:
+    """area, problem, n, first: ids that an area's tiles draw and its records lack ('drawn only'), or the other way round ('held only').
+
+    Each area must stand on its own. `late`: condition on the area's records that are held but drawn at no zoom of these tiles.
+    """
+    held = (records if late is None else records.withColumn("_late", late)).select(area, uid, (F.lit(False) if late is None else F.coalesce("_late", F.lit(False))).alias("_late")).groupBy(area, uid).agg(F.max("_late").alias("_late"))
+    both = held.withColumn("_held", F.lit(True)).join(drawn.select(area, uid).distinct().withColumn("_drawn", F.lit(True)), [area, uid], "full")
+    problem = F.when(F.col("_held").isNull(), "drawn only").when(F.col("_drawn").isNull() & ~F.col("_late"), "held only")
+    return both.withColumn("problem", problem).filter("problem IS NOT NULL").groupBy(area, "problem").agg(F.count("*").alias("n"), F.min(uid).alias("first"))
+
+
+def changeset_problems(old: DataFrame, carried: DataFrame, removed: DataFrame, boxes: DataFrame, key: str) -> DataFrame:
+    """problem, key of a changeset against the build it starts from: a key both carried and removed, removed though the old build lacks it, carried twice, or carried without a box, and boxes of keys that are not carried."""
+    say = lambda df, problem: df.select(F.lit(problem).alias("problem"), key)
+    once = carried.select(key).distinct()
+    return say(removed.select(key).distinct().join(once, key, "left_semi"), "carried and removed").unionByName(say(removed.select(key).distinct().join(old.select(key), key, "left_anti"), "removed but not there")).unionByName(
+        say(repeated(carried, key), "carried twice")).unionByName(say(once.join(boxes.select(key), key, "left_anti"), "carried without a box")).unionByName(say(boxes.select(key).distinct().join(once, key, "left_anti"), "box of nothing"))
+
+
+def later(*copies: DataFrame, key: str, at: str) -> DataFrame:
+    """The rows of all copies, of one key the latest; of equal times that of the last copy. A row without a time gives way to any other."""
+    both = None
+    for i, df in enumerate(copies):
+        one = df.withColumn("_copy", F.lit(i))
+        both = one if both is None else both.unionByName(one, allowMissingColumns=True)
+    names = [c for c in both.columns if c != "_copy"]
+    best = both.groupBy(key).agg(F.max_by(F.struct(*names), F.struct(F.coalesce(F.col(at).cast("timestamp"), F.lit("0001-01-01").cast("timestamp")), "_copy")).alias("_row"))
+    return best.select("_row.*")

@@ -22,6 +22,11 @@ from waymeld.functions import geo
 STEP, SAME, LEAST, CELL = 5.0, 15.0, 30.0, 50.0
 #: Share of the longer line's length that a twin has at least, and of its own length that it must run along the other.
 RATIO, TRAVEL = 0.85, 0.5
+#: Metres and degrees within which a way runs with a line; shares of a section on a path that drop or mark it, the latter from so many metres.
+ALONG, ANGLE, DROPPED, PARTLY, PARTLY_M = 20.0, 30.0, 0.75, 0.3, 100.0
+BYWAY = "byway_open_to_all_traffic"
+#: Share of a record that must still be drawn; least share of records kept and most share of new length for a layer to be trusted.
+KEEP, LEAST_KEPT, MOST_NEW = 0.9, 0.75, 0.25
 
 
 def segments(lines: DataFrame, key: str, line: str) -> DataFrame:
@@ -46,12 +51,12 @@ def _span(a: Column, b: Column, d: float, cell: float) -> Column:
 
 
 def flagged(points: DataFrame, others: DataFrame, key: str, line: str, d: float = SAME, cell: float = CELL) -> DataFrame:
-    """points (key, _at, x, y, ...) with `near`: whether a line of others passes within d metres.
+    """points (key, _at, x, y, ...) with `near`: whether a line of others, which need no key, passes within d metres.
 
     Segments are dealt to all cells that their box, grown by d, touches, so a point asks its own cell alone. Points
     of a cell are answered before they are gathered: one row per point leaves the join.
     """
-    legs = segments(others, key, line).select("ax", "ay", "bx", "by")
+    legs = segments(others.select(F.lit(0).alias(key), line), key, line).select("ax", "ay", "bx", "by")
     dealt = legs.withColumn("cx", _span(F.col("ax"), F.col("bx"), d, cell)).withColumn("cy", _span(F.col("ay"), F.col("by"), d, cell)).distinct()
     asked = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
     close = geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= d
@@ -196,3 +201,87 @@ def clipped(line: Column, west: float, south: float, east: float, north: float)
             return [[{"x": x, "y": y} for x, y in piece] for piece in out]
         return lines.map(one, na_action="ignore")
     return run(line)
+
+
+def running(ways: DataFrame, key: str, line: str, others: DataFrame, name: str, other_line: str, d: float = ALONG, degrees: float = ANGLE, cell: float = CELL) -> DataFrame:
+    """key, share, kind, kind_share: how much of a way runs with others: within d metres of a segment that it is beside, at a small angle.
+
+    others carry a `name` each, such as their class. A point counts once, for the nearest such segment, of equals for the
+    lesser name; `kind` is the name with most points, of equals the lesser. Lines crossed or met at their ends do not count.
+    """
+    legs = segments(ways, key, line).withColumn("m", F.sqrt(F.pow(F.col("bx") - F.col("ax"), 2) + F.pow(F.col("by") - F.col("ay"), 2)))
+    ends = ways.select(key, (F.size(line) - 2).alias("_last"))
+    many = F.greatest(F.lit(1), F.floor(F.col("m") / STEP)).cast("int")
+    cut = legs.join(ends, key).filter("m > 0").withColumn("i", F.explode(F.sequence(F.lit(0), F.when(F.col("leg") == F.col("_last"), many).otherwise(many - 1))))
+    t = F.least(F.lit(1.0), F.col("i") * STEP / F.col("m"))
+    points = cut.select(key, "leg", "i", (F.col("ax") + (F.col("bx") - F.col("ax")) * t).alias("x"), (F.col("ay") + (F.col("by") - F.col("ay")) * t).alias("y"), geo.axis(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")).alias("_axis"))
+    theirs = segments(others.select(F.col(name).alias("_name"), F.col(other_line).alias("_line")), "_name", "_line").drop("leg").filter("ax <> bx OR ay <> by").distinct()
+    dealt = theirs.withColumn("cx", _span(F.col("ax"), F.col("bx"), d, cell)).withColumn("cy", _span(F.col("ay"), F.col("by"), d, cell)).withColumn("_other", geo.axis(F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")))
+    asked = points.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
+    far = geo.beside_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by"))
+    near = asked.join(dealt, ["cx", "cy"]).filter(geo.turn(F.col("_axis"), F.col("_other")) <= degrees).withColumn("_far", far).filter(F.col("_far") <= d)
+    best = near.groupBy(key, "leg", "i").agg(F.min(F.struct("_far", "_name")).alias("b"))
+    tally = best.groupBy(key, F.col("b._name").alias("kind")).agg(F.count("*").alias("n")).groupBy(key).agg(F.sum("n").alias("_hit"), F.min(F.struct((-F.col("n")).alias("less"), "kind")).alias("_best"))
+    out = points.groupBy(key).agg(F.count("*").alias("_all")).join(tally, key, "left")
+    return out.select(key, F.coalesce(F.col("_hit") / F.col("_all"), F.lit(0.0)).alias("share"), F.col("_best.kind").alias("kind"), F.coalesce(-F.col("_best.less") / F.col("_all"), F.lit(0.0)).alias("kind_share"))
+
+
+def sections(ways: DataFrame, key: str, line: str, paths: DataFrame, name: str, path_line: str, byways: DataFrame, byway_line: str) -> DataFrame:
+    """key, verdict, kind, share, length_m: sections of roads that the definitive record holds as a path or byway are 'dropped'; others stay, 'partly' where a long one runs on a path for a while.
+
+    Lines of fewer than two different points are left out.
+    """
+    on_path = running(ways, key, line, paths, name, path_line)
+    on_byway = running(ways, key, line, byways.select(F.lit(BYWAY).alias("_kind"), F.col(byway_line).alias("_byway")), "_kind", "_byway").select(key, F.col("share").alias("_on"))
+    both = on_path.join(on_byway, key).join(ways.select(key, geo.length_m(F.col(line)).alias("length_m")), key)
+    path, byway = F.col("share") >= DROPPED, F.col("_on") >= DROPPED
+    verdict = F.when(path | byway, "dropped").when((F.col("share") >= PARTLY) & (F.col("length_m") >= PARTLY_M), "partly").otherwise("kept")
+    return both.select(key, verdict.alias("verdict"), F.when(path, F.col("kind")).when(byway, BYWAY).alias("kind"), F.when(~path & byway, F.col("_on")).otherwise(F.col("share")).alias("share"), "length_m")
+
+
+def drawn(features: DataFrame, key: str, parts: str, others: DataFrame, line: str, d: float = SAME) -> DataFrame:
+    """key, share, length_m: how much of each feature's parts, by length, lies along the others' lines. Features without a line of two points are left out."""
+    each = features.select(key, F.posexplode(parts).alias("_pos", "_line")).filter(F.size("_line") > 1).select(F.struct(key, "_pos").alias("_part"), "_line", geo.length_m(F.col("_line")).alias("_m"))
+    shares = covered_share(each, others, "_part", "_line", d).join(each.select("_part", "_m"), "_part")
+    return shares.groupBy(F.col(f"_part.{key}").alias(key)).agg(F.coalesce(F.sum(F.col("share") * F.col("_m")) / F.nullif(F.sum("_m"), F.lit(0.0)), F.lit(0.0)).alias("share"), F.sum("_m").alias("length_m"))
+
+
+def _lines_of(features: DataFrame, parts: str) -> DataFrame:
+    return features.select(F.explode(parts).alias("_line")).filter(F.size("_line") > 1)
+
+
+def settled(register: DataFrame, key: str, parts: str, layer: DataFrame, layer_key: str, layer_parts: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(kept, dropped, added): a register held against the layer that decides which ways there are.
+
+    Records that the layer still draws are kept as they are, the others dropped; what the layer draws and the kept ones
+    lack is added, run by run (layer_key, pos, run, length_m, points in metres).
+    """
+    shares = drawn(register, key, parts, _lines_of(layer, layer_parts), "_line")
+    kept = register.join(shares.filter(F.col("share") >= KEEP).select(key), key, "left_semi")
+    dropped = register.join(shares.filter(F.col("share") < KEEP).select(key), key, "left_semi")
+    theirs = layer.select(layer_key, F.posexplode(layer_parts).alias("pos", "_line")).filter(F.size("_line") > 1).select(F.struct(layer_key, "pos").alias("_part"), "_line")
+    added = uncovered_runs(theirs, _lines_of(kept, parts), "_part", "_line")
+    return kept, dropped, added.select("_part.*", "run", "length_m", "points")
+
+
+def renewed(old: DataFrame, new: DataFrame, key: str, parts: str) -> tuple[DataFrame, DataFrame]:
+    """(features, verdicts): a newer copy of a register in which unchanged records keep their rows, so their ids do not move.
+
+    An old record that the new copy still draws is kept; a new one that the kept ones do not draw is added whole, and kept
+    ones that the added draw give way. verdicts: side, key, verdict (kept, dropped, added, known), length_m, share.
+    """
+    first = drawn(old, key, parts, _lines_of(new, parts), "_line")
+    held = old.join(first.filter(F.col("share") >= KEEP).select(key), key, "left_semi")
+    fresh = drawn(new, key, parts, _lines_of(held, parts), "_line")
+    added = new.join(fresh.filter(F.col("share") < KEEP).select(key), key, "left_semi")
+    gives = drawn(held, key, parts, _lines_of(added, parts), "_line").filter(F.col("share") >= KEEP).select(key)
+    kept = held.join(gives, key, "left_anti")
+    said = lambda df, side, verdict: df.select(F.lit(side).alias("side"), key, verdict.alias("verdict"), "length_m", "share")
+    gone = first.join(gives.withColumn("_gives", F.lit(True)), key, "left")
+    verdicts = said(gone, "old", F.when((F.col("share") >= KEEP) & F.col("_gives").isNull(), "kept").otherwise("dropped")).unionByName(said(fresh, "new", F.when(F.col("share") < KEEP, "added").otherwise("known")))
+    return kept.unionByName(added), verdicts
+
+
+def agrees(records: Column, kept: Column, ways: Column, new_share: Column) -> Column:
+    """Null if a layer may replace a register, else why not."""
+    return F.when(ways == 0, "the layer holds no ways").when((records > 0) & (kept < LEAST_KEPT * records), "the layer draws too few of the register's records").when((records > 0) & (new_share > MOST_NEW), "too much of the layer is not in the register")

@@ -90,16 +90,20 @@ def joined(pieces: DataFrame, keys: list[str], piece: str, line: str, length: st
     return out.withColumn("lines", F.transform("_lines", lambda x: x["_line"])).drop("_lines")
 
 
-@F.pandas_udf(T.DoubleType())
-def gap_km(parts: pd.Series) -> pd.Series:
+def gap_km(parts: Column | str) -> Column:
     """The widest distance from one chain of touching parts to the nearest other; 0 where all parts chain up."""
+    return _gap_km(geo.boxed(F.col(parts) if isinstance(parts, str) else parts))
+
+
+@F.pandas_udf(T.DoubleType())
+def _gap_km(parts: pd.Series) -> pd.Series:
     def near(a: np.ndarray, b: np.ndarray) -> float:
         lat = np.radians((a[:, None, 1] + b[None, :, 1]) / 2)
         x, y = np.radians(b[None, :, 0] - a[:, None, 0]) * np.cos(lat), np.radians(b[None, :, 1] - a[:, None, 1])
         return float(np.hypot(x, y).min()) * geo.EARTH_M / 1000
 
     def one(rows) -> float:
-        p = [np.array([(q["x"], q["y"]) for q in r], dtype=float) for r in rows if len(r)]
+        p = [np.array([(q["x"], q["y"]) for q in r["p"]], dtype=float) for r in rows if r["p"] is not None and len(r["p"])]
         if len(p) < 2:
             return 0.0
         far = np.array([[0.0 if i == j else near(a, b) for j, b in enumerate(p)] for i, a in enumerate(p)])

@@ -77,11 +77,11 @@ def vector_tiles(features: DataFrame, uid: str, line: str, props: list[str], zoo
     scaled = lambda p: F.struct(((geo.tile_x(p["x"], zoom) - F.col("t.x")) * extent).alias("x"), ((geo.tile_y(p["y"], zoom) - F.col("t.y")) * extent).alias("y"))
     from waymeld.operators.lines import clipped
 
-    pieces = cut.select("id", "props", F.col("t.x").alias("x"), F.col("t.y").alias("y"), clipped(F.transform("line", scaled), -margin, -margin, extent + margin, extent + margin).alias("lines")).filter(F.size("lines") > 0)
+    pieces = cut.select("id", "props", F.col("t.x").alias("x"), F.col("t.y").alias("y"), clipped(F.transform("line", scaled), -margin, -margin, extent + margin, extent + margin).alias("lines")).filter(F.size("lines") > 0).withColumn("lines", geo.boxed(F.col("lines")))
 
     def encode(group: pd.DataFrame) -> pd.DataFrame:
         rows = group.sort_values("id", kind="stable")
-        found = [(int(i), [[(round(p["x"]), round(p["y"])) for p in part] for part in lines], {k: v for k, v in p.items() if k != "_"}) for i, lines, p in zip(rows["id"], rows["lines"], rows["props"])]
+        found = [(int(i), [[(round(p["x"]), round(p["y"])) for p in part["p"]] for part in lines], {k: v for k, v in p.items() if k != "_"}) for i, lines, p in zip(rows["id"], rows["lines"], rows["props"])]
         body = tile(layer, found, extent)
         return pd.DataFrame([(zoom, int(rows["x"].iloc[0]), int(rows["y"].iloc[0]), body)] if body else [], columns=["z", "x", "y", "tile"])
 
