@@ -57,17 +57,17 @@ def slug(text: Column) -> Column:
 
 @F.pandas_udf(T.StringType())
 def _unescaped(text: pd.Series) -> pd.Series:
-    return text.str.replace(_ENTITY, lambda m: html.unescape(m.group(0)), regex=True)
+    return text.astype(object).str.replace(_ENTITY, lambda m: html.unescape(m.group(0)), regex=True) if text.notna().any() else text.astype(object)
 
 
 def clean_text(text: Column, rounds: int = 3) -> Column:
     """Character references with their semicolon decoded, up to three times over, and odd spaces made plain.
 
-    Only texts that hold a reference leave the JVM.
+    Only texts that hold a reference are sent to Python, nulls in place of the others.
     """
     out = text
     for _ in range(rounds):
-        out = F.when(out.rlike(_ENTITY), _unescaped(out)).otherwise(out)
+        out = F.coalesce(_unescaped(F.when(out.rlike(_ENTITY), out)), out)
     return F.translate(out, ODD_SPACES, " " * len(ODD_SPACES))
 
 

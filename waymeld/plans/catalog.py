@@ -67,11 +67,7 @@ both("q_weighted_mode", """SELECT l_suppkey, l_returnflag AS surface FROM (SELEC
 both("q_all_types_present", """SELECT c_nationkey FROM {customer} WHERE c_mktsegment IN ('BUILDING', 'MACHINERY', 'AUTOMOBILE') GROUP BY c_nationkey HAVING count(DISTINCT c_mktsegment) = 3""")
 both("q_not_exists", """SELECT c_custkey FROM {customer} c WHERE NOT EXISTS (SELECT 1 FROM {orders} o WHERE o.o_custkey = c.c_custkey AND o.o_orderkey % 5 = 0)""")
 # Text, references, documents
-both("q_scrub_pii", """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]') AS clean FROM {documents}""",
-     """SELECT doc_id, regexp_replace(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+', '[email]', 'g') AS clean FROM documents""")
-both("q_json_explode", """SELECT event_id, CAST(get_json_object(props, '$.k') AS BIGINT) AS k FROM {events}""", """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events""")
 both("q_match_ref", """SELECT s_suppkey, c_custkey FROM (SELECT s_suppkey, regexp_replace(regexp_extract(s_name, '[0-9]+', 0), '^0+', '') AS ref FROM {supplier}) s JOIN (SELECT c_custkey, regexp_replace(regexp_extract(c_name, '[0-9]+', 0), '^0+', '') AS ref FROM {customer}) c ON s.ref = c.ref""")
-both("q_html_text", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' '), '[ \\n\\t]+', ' ')) AS body FROM {pages}""", r"""SELECT page_id, trim(regexp_replace(regexp_replace(html, '<[^>]*>', ' ', 'g'), '[ \n\t]+', ' ', 'g')) AS body FROM pages""")
 
 # Grouped summaries, bands and gates
 both("q_validity", """SELECT o_custkey, CAST(CAST(min(o_orderdate) AS DATE) AS STRING) AS start_on, CASE WHEN max(CASE WHEN o_orderkey % 9 = 0 THEN 1 ELSE 0 END) = 0 THEN CAST(CAST(max(o_orderdate) AS DATE) AS STRING) END AS end_on FROM {orders} GROUP BY o_custkey""")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from waymeld.functions import climb, dates, geo, text, wet
-from waymeld.operators import cdc, gates, lines, orders, ranking, readings, registers
+from waymeld.operators import cdc, gates, lines, orders, physical, ranking, readings, registers
 from waymeld.plans.catalog import query, t
 
 TODAY = "1995-06-17"
@@ -310,17 +310,47 @@ def q_uncovered_runs(spark, sf_dir):
     return out.groupBy("k").agg(F.count("*").alias("runs"))
 
 
-@query("SELECT c_custkey * 2 AS a, c_custkey * 2 + 1 AS b FROM customer WHERE c_custkey <= 1000 AND c_custkey % 3 <> 0")
+def _apart(df, key, legs):
+    """A way per row like those of `_ways`, each half a kilometre from all others."""
+    k = F.col(key)
+    lon, lat = F.lit(-5.0) + (k % 700) / 100.0, F.lit(50.0) + (F.floor(k / 700) % 1100) / 200.0
+    return df.select(k.alias("k"), F.array(*[F.struct((lon + i * 0.001).alias("x"), (lat + 0.0007 * (i % 2)).alias("y")) for i in range(legs + 1)]).alias("line"))
+
+
+def _moved(up):
+    return F.transform("line", lambda p: F.struct(p["x"].alias("x"), (p["y"] + up).alias("y")))
+
+
+@query("SELECT c_custkey * 2 AS a, c_custkey * 2 + 1 AS b FROM customer WHERE c_custkey % 3 <> 0")
 def q_line_twins(spark, sf_dir):
     """Ways drawn twice: a copy moved by some metres is a twin, one moved far is not."""
-    ways = _ways(t(spark, sf_dir, "customer").filter("c_custkey <= 1000"), "c_custkey", 3)
-    moved = F.when(F.col("k") % 3 == 0, 0.0006).otherwise(0.00008)
-    copies = ways.withColumn("line", F.transform("line", lambda p: F.struct(p["x"].alias("x"), (p["y"] + moved).alias("y"))))
+    ways = _apart(t(spark, sf_dir, "customer"), "c_custkey", 3)
+    copies = ways.withColumn("line", _moved(F.when(F.col("k") % 3 == 0, 0.0006).otherwise(0.00008)))
     both = ways.select((F.col("k") * 2).alias("k"), "line").unionByName(copies.select((F.col("k") * 2 + 1).alias("k"), "line"))
     return lines.twins(both, "k", "line").select("a", "b")
 
 
-# Registers
+@query("""SELECT 'old' AS side, c_custkey AS k, CASE WHEN c_custkey % 5 IN (0, 1, 2) THEN 'kept' ELSE 'dropped' END AS verdict FROM customer UNION ALL
+SELECT 'new', c_custkey, CASE WHEN c_custkey % 5 IN (0, 1, 2) THEN 'known' ELSE 'added' END FROM customer WHERE c_custkey % 5 <> 4""")
+def q_renewed(spark, sf_dir):
+    """A newer copy of a register: ways redrawn some metres off are known, ways gone on further replace the old ones, others are dropped."""
+    rows = t(spark, sf_dir, "customer")
+    old = _apart(rows, "c_custkey", 3).select("k", F.array("line").alias("parts"))
+    longer = _apart(rows, "c_custkey", 5).filter("k % 5 = 3")
+    new = _apart(rows, "c_custkey", 3).filter("k % 5 < 3").withColumn("line", _moved(F.lit(0.00006))).unionByName(longer).select("k", F.array("line").alias("parts"))
+    return lines.renewed(old, new, "k", "parts")[1].select("side", "k", "verdict")
+
+
+@query("SELECT c_custkey AS k, CAST(CASE WHEN c_custkey % 3 = 0 THEN 1 ELSE 2 END AS BIGINT) AS lines, c_custkey % 3 <> 0 AS matched FROM customer")
+def q_surveyed(spark, sf_dir):
+    """Each way is surveyed in two lines end to end, of which every third lacks one; a line some way off does not count."""
+    ways = _apart(t(spark, sf_dir, "customer"), "c_custkey", 4)
+    half = lambda n, first: ways.select((F.col("k") * 4 + n).alias("o"), F.slice("line", first, 3).alias("line"))
+    surveyed = half(0, 1).unionByName(half(1, 3).filter("floor(o / 4) % 3 <> 0")).unionByName(half(2, 1).withColumn("line", _moved(F.lit(0.0005))))
+    under = physical.under(ways, "k", "line", surveyed, "o", "line")
+    return under.groupBy("k").agg(F.count("*").alias("lines"), (F.max("cover") >= physical.UNION).alias("matched"))
+
+
 @query("""WITH d AS (SELECT l_orderkey, l_quantity AS q, max(CASE WHEN l_linenumber <> 6 THEN l_quantity END) AS m, list(l_linenumber) AS ids, min(l_returnflag) AS s0, max(l_returnflag) AS s1 FROM lineitem GROUP BY 1, 2)
 SELECT l_orderkey, CAST(sum(len(ids)) AS BIGINT) AS pieces, count(*) AS lines, round(CASE WHEN count(m) = count(*) THEN sum(m) END, 4) AS length, CASE WHEN min(s0) = max(s1) THEN min(s0) END AS said FROM d GROUP BY 1""")
 def q_join_pieces(spark, sf_dir):
@@ -446,3 +476,102 @@ def q_classify(spark, sf_dir):
     words = F.when(k == 0, "Prohibition of motor vehicles other than solo motorcycles").when(k == 1, F.concat(F.lit("All vehicles of a WIDTH exceeding "), (F.col("p_size") / 10.0 + 1).cast("string"), F.lit("m"))).when(k == 2, "Closed to any traffic").when(
         k == 3, "no Motor Vehicle may pass").when(k == 4, "Prohibition of Driving order").otherwise("Gate locked at night")
     return t(spark, sf_dir, "part").select("p_partkey", text.vehicles(words).alias("v")).select("p_partkey", "v.vehicles", "v.width_m")
+
+
+@query(f"""WITH a AS ({_WAY('customer', 'c_custkey', 4)}), b AS ({_WAY('supplier', 's_suppkey', 2)}),
+m AS (SELECT 'a' AS side, k, i, lon * 111320 * cos(radians(lat)) AS x, lat * 110574 AS y FROM a UNION ALL SELECT 'b', k, i, lon * 111320 * cos(radians(lat)), lat * 110574 + 3 FROM b),
+l AS (SELECT side, k, i, x AS ax, y AS ay, lead(x) OVER w AS bx, lead(y) OVER w AS by_ FROM m WINDOW w AS (PARTITION BY side, k ORDER BY i)),
+s AS (SELECT *, sqrt(pow(bx - ax, 2) + pow(by_ - ay, 2)) AS len, degrees(atan2(by_ - ay, bx - ax)) AS deg FROM l WHERE bx IS NOT NULL),
+p AS (SELECT k, i, j, ax + (bx - ax) * least(1, j * 5 / len) AS x, ay + (by_ - ay) * least(1, j * 5 / len) AS y, deg FROM (SELECT *, unnest(generate_series(0, CAST(floor(len / 5) AS BIGINT) - CASE WHEN i = 3 THEN 0 ELSE 1 END)) AS j FROM s WHERE side = 'a')),
+n AS (SELECT p.k, p.i, p.j, s.k % 2 AS odd, ((p.x - ax) * (bx - ax) + (p.y - ay) * (by_ - ay)) / len AS far_along, abs((p.x - ax) * (by_ - ay) - (p.y - ay) * (bx - ax)) / len AS off, len FROM p JOIN s ON side = 'b' AND abs(ax - p.x) < 500 AND abs(ay - p.y) < 500 AND degrees(acos(least(1, abs(cos(radians(p.deg - s.deg)))))) <= 30),
+h AS (SELECT k, i, j, arg_min(odd, d) AS odd FROM (SELECT *, sqrt(off * off + pow(greatest(0, -far_along, far_along - len), 2)) AS d FROM n WHERE far_along BETWEEN -2 AND len + 2) WHERE d <= 20 GROUP BY ALL),
+c AS (SELECT k, count(odd) AS hit, count(*) AS n, count_if(odd = 1) AS odd FROM p LEFT JOIN h USING (k, i, j) GROUP BY 1)
+SELECT k, round(hit / n, 4) AS share, CASE WHEN hit > 0 THEN CASE WHEN 2 * odd > hit THEN 'odd' ELSE 'even' END END AS kind FROM c""")
+def q_running_with(spark, sf_dir):
+    """How much of each customer's way runs with a supplier's, and with which kind of them."""
+    others = _ways(t(spark, sf_dir, "supplier"), "s_suppkey", 2).select(F.when(F.col("k") % 2 == 1, "odd").otherwise("even").alias("kind"), _moved(F.lit(3 / geo.LAT_M)).alias("line"))
+    out = lines.running(_ways(t(spark, sf_dir, "customer"), "c_custkey", 4), "k", "line", others, "kind", "line")
+    return out.select("k", F.round("share", 4).alias("share"), "kind")
+
+
+@query("""WITH r AS (SELECT l_orderkey AS k, l_quantity + l_partkey * 0.0137 AS w, p_size, CASE WHEN p_size % 4 <> 0 THEN p_brand END AS surface, CASE WHEN p_size % 3 <> 0 THEN p_size / 10.0 END AS width FROM lineitem JOIN part ON l_partkey = p_partkey),
+s AS (SELECT k, arg_min(surface, row(-w, surface)) AS surface FROM (SELECT k, surface, sum(w) AS w FROM r WHERE surface IS NOT NULL GROUP BY ALL) GROUP BY 1),
+b AS (SELECT l_orderkey AS k, count(*) AS n, min(CASE WHEN l_linenumber > 1 THEN l_linenumber / 2.0 END) AS gap FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1)
+SELECT k, s.surface AS surface, round(sum(width * w) / sum(CASE WHEN width IS NOT NULL THEN w END), 2) AS width_m, round(least(min(width), min(gap)), 2) AS min_width_m, coalesce(min(n), 0) AS barriers FROM r LEFT JOIN s USING (k) LEFT JOIN b USING (k) GROUP BY k, s.surface""")
+def q_way_attributes(spark, sf_dir):
+    """Orders as ways that parts lie under: the surface of most of it, widths, barriers."""
+    parts, items = t(spark, sf_dir, "part"), t(spark, sf_dir, "lineitem")
+    tag = lambda **said: F.map_filter(F.create_map(*[x for k, v in said.items() for x in (F.lit(k), v)]), lambda a, b: b.isNotNull())
+    size = F.col("p_size")
+    tags = parts.select(F.col("p_partkey").alias("l_partkey"), tag(surface=F.when(size % 4 != 0, F.col("p_brand")), width=F.when(size % 3 != 0, F.format_string("%.1f m", size / 10.0))).alias("tags"))
+    chosen = items.select("l_orderkey", "l_partkey", (F.col("l_quantity") + F.col("l_partkey") * 0.0137).alias("weight"))
+    stops = items.filter("l_returnflag = 'R'").select("l_orderkey", F.lit("gate").alias("kind"), tag(maxwidth=F.when(F.col("l_linenumber") > 1, F.format_string("%.1f", F.col("l_linenumber") / 2.0))).alias("tags"))
+    out = physical.attributes(chosen, "l_orderkey", "l_partkey", tags, stops)
+    return out.select(F.col("l_orderkey").alias("k"), "surface", "width_m", "min_width_m", F.size("barriers").cast("bigint").alias("barriers"))
+
+
+@query("""WITH r AS (SELECT c_nationkey AS area, c_custkey AS uid, c_custkey % 11 = 0 AS late FROM customer WHERE c_custkey % 5 <> 0), d AS (SELECT c_nationkey AS area, c_custkey AS uid FROM customer WHERE c_custkey % 7 <> 0)
+SELECT area, CASE WHEN r.late IS NULL THEN 'drawn only' ELSE 'held only' END AS problem, count(*) AS n, min(uid) AS first FROM r FULL JOIN (SELECT *, TRUE AS drawn FROM d) USING (area, uid) WHERE r.late IS NULL OR (drawn IS NULL AND NOT r.late) GROUP BY 1, 2""")
+def q_tiles_agree(spark, sf_dir):
+    """Ids that tiles and records of an area do not share."""
+    rows = t(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("area"), F.col("c_custkey").alias("uid"))
+    return gates.disagreeing(rows.filter("uid % 5 <> 0"), rows.filter("uid % 7 <> 0"), "area", "uid", F.col("uid") % 11 == 0)
+
+
+@query("""SELECT CASE WHEN o_orderkey % 13 = 0 THEN 'removed but not there' ELSE 'carried and removed' END AS problem, o_orderkey FROM orders WHERE o_orderkey % 11 = 0 AND (o_orderkey % 13 = 0 OR o_orderkey % 7 = 0)
+UNION ALL SELECT 'carried and removed', o_orderkey FROM orders WHERE o_orderkey % 11 = 0 AND o_orderkey % 13 = 0 AND o_orderkey % 7 = 0
+UNION ALL SELECT 'carried twice', o_orderkey FROM orders WHERE o_orderkey % 7 = 0 AND o_custkey % 4 = 0
+UNION ALL SELECT 'carried without a box', o_orderkey FROM orders WHERE o_orderkey % 7 = 0 AND o_custkey % 5 = 0
+UNION ALL SELECT 'box of nothing', o_orderkey FROM orders WHERE o_orderkey % 7 = 1 AND o_custkey % 5 <> 0""")
+def q_changeset_problems(spark, sf_dir):
+    """What is wrong with a changeset: keys on both sides, unknown, repeated, or at odds with its boxes."""
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    carried = rows.filter("o_orderkey % 7 = 0")
+    return gates.changeset_problems(rows.filter("o_orderkey % 13 <> 0"), carried.unionByName(carried.filter("o_custkey % 4 = 0")), rows.filter("o_orderkey % 11 = 0"), rows.filter("o_orderkey % 7 <= 1 AND o_custkey % 5 <> 0"), "o_orderkey")
+
+
+@query("SELECT event_id, arg_max(event_type, n) AS event_type FROM (SELECT event_id % 50 AS event_id, event_type, row_number() OVER (PARTITION BY event_id % 50 ORDER BY CAST(ts AS DATE), event_id % 2, event_type) AS n FROM (SELECT event_id, ts, CASE WHEN event_id % 2 = 0 THEN 'even' ELSE 'odd' END AS event_type FROM events)) x GROUP BY 1")
+def q_later_copy(spark, sf_dir):
+    """Of two copies of a table, the later row of each key."""
+    rows = t(spark, sf_dir, "events").select((F.col("event_id") % 50).alias("event_id"), F.col("ts").cast("date").alias("day"), F.when(F.col("event_id") % 2 == 0, "even").otherwise("odd").alias("event_type"))
+    return gates.later(rows.filter("event_type = 'even'"), rows.filter("event_type = 'odd'"), key="event_id", at="day").select("event_id", "event_type")
+
+
+@query(f"""WITH w AS ({_WAY('customer', 'c_custkey', 4)}), u AS (SELECT k, i, CAST(round(lon * 1e7) AS BIGINT) AS x, CAST(round(lat * 1e7) AS BIGINT) AS y FROM w),
+d AS (SELECT k, x - coalesce(lag(x) OVER o, 0) AS x, y - coalesce(lag(y) OVER o, 0) AS y FROM u WINDOW o AS (PARTITION BY k ORDER BY i)),
+n AS (SELECT k, unnest([CASE WHEN x < 0 THEN -2 * x - 1 ELSE 2 * x END, CASE WHEN y < 0 THEN -2 * y - 1 ELSE 2 * y END]) AS z FROM d)
+SELECT k, CAST(2 + sum(CASE WHEN z < 128 THEN 1 WHEN z < 16384 THEN 2 WHEN z < 2097152 THEN 3 WHEN z < 268435456 THEN 4 ELSE 5 END) AS INTEGER) AS bytes, TRUE AS exact FROM n GROUP BY 1""")
+def q_packed_lines(spark, sf_dir):
+    """Bytes of each way as packed, and whether unpacking gives it back."""
+    packed = _ways(t(spark, sf_dir, "customer"), "c_custkey", 4).withColumn("body", geo.pack_lines(F.array("line"))).withColumn("back", F.get(geo.unpack_lines("body"), 0))
+    near = F.forall(F.arrays_zip(F.col("line").alias("a"), F.col("back").alias("b")), lambda z: (F.abs(z["a"]["x"] - z["b"]["x"]) < 6e-8) & (F.abs(z["a"]["y"] - z["b"]["y"]) < 6e-8))
+    return packed.select("k", F.length("body").alias("bytes"), near.alias("exact"))
+
+
+@query("""SELECT c_custkey, 'Closed for works ' || CAST(c_custkey AS VARCHAR) AS clean FROM customer""")
+def q_scrub_pii(spark, sf_dir):
+    """Summaries with a contact in them, without it."""
+    k = F.col("c_custkey")
+    contact = F.when(k % 4 == 0, " 01632 960123").when(k % 4 == 1, F.concat(F.lit(" works"), k.cast("string"), F.lit("@council.example.org"))).when(k % 4 == 2, " - the highways contact").otherwise(" +44 1632 960 123 for further information, ")
+    return t(spark, sf_dir, "customer").select("c_custkey", text.without_contacts(F.concat(F.lit("Closed for  works "), k.cast("string"), contact)).alias("clean"))
+
+
+@query("""SELECT l_orderkey, count(*) AS n, round(sum(l_quantity), 2) AS quantity FROM lineitem GROUP BY 1""")
+def q_json_explode(spark, sf_dir):
+    """Items of each order, from JSON: an array of objects, or a bare object where there is one."""
+    items = t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_list(F.struct("l_quantity")).alias("i"))
+    written = F.when(F.size("i") == 1, F.to_json(F.get("i", 0))).otherwise(F.to_json("i"))
+    each = items.select("l_orderkey", F.explode(orders.items(written)).alias("item"))
+    return each.groupBy("l_orderkey").agg(F.count("*").alias("n"), F.round(F.sum(orders.at(F.col("item"), "l_quantity").cast("double")), 2).alias("quantity"))
+
+
+_DECODED = "replace(replace(replace(replace({}, '&copy;', '©'), '&middot;', '·'), '&quot;', '\"'), '&amp;', '&')"
+
+
+@query(r"""WITH a AS (SELECT page_id, regexp_replace(html, '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<head\b.*?</head\s*>|<!--.*?-->', ' ', 'g') AS x FROM pages),
+b AS (SELECT page_id, regexp_replace(regexp_replace(x, '(?i)<br\s*/?>|</(p|div|li|tr|h[1-6]|ul|ol|table|section|article)\s*>', chr(10), 'g'), '<[^>]*>', ' ', 'g') AS x FROM a),
+c AS (SELECT page_id, translate(DECODED, chr(160), ' ') AS x FROM b)
+SELECT page_id, regexp_replace(regexp_replace(regexp_replace(x, '[ \t\r\f]+', ' ', 'g'), ' *\n\s*', chr(10), 'g'), '^\s+|\s+$', '', 'g') AS body FROM c""".replace("DECODED", _DECODED.format(_DECODED.format(_DECODED.format("x")))))
+def q_html_text(spark, sf_dir):
+    """Readable lines of each page."""
+    return t(spark, sf_dir, "pages").select("page_id", text.page_text(F.col("html")).alias("body"))
