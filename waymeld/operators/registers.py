@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from waymeld.functions import geo
 from waymeld.operators import lines
+from waymeld.operators.lineage import cut
 
 #: Kilometres at which two pieces still touch.
 TOUCH_KM = 0.025
@@ -210,9 +211,9 @@ def reaching(links: DataFrame, published: DataFrame) -> DataFrame:
     found = published.select("file", F.col("build").alias("to"))
     edge, out = found, None
     while True:
-        step = links.join(edge, ["file", "to"], "left_semi").select("file", "from", "to")
+        step = cut(links.join(edge, ["file", "to"], "left_semi").select("file", "from", "to"))
         out = step if out is None else out.unionByName(step)
-        edge = step.select("file", F.col("from").alias("to")).distinct().join(found, ["file", "to"], "left_anti")
+        edge = cut(step.select("file", F.col("from").alias("to")).distinct().join(found, ["file", "to"], "left_anti"))
         if edge.isEmpty():
             return out.distinct()
         found = found.unionByName(edge)
@@ -285,3 +286,30 @@ def in_boxes(points: DataFrame, lon: str, lat: str, boxes: DataFrame, name: str,
     asked = points.withColumn("_x", F.floor(F.col(lon) / cell)).withColumn("_y", F.floor(F.col(lat) / cell))
     inside = F.col(lon).between(F.col("west"), F.col("east")) & F.col(lat).between(F.col("south"), F.col("north"))
     return asked.join(dealt, ["_x", "_y"]).filter(inside).select(*points.columns, name)
+
+
+def _box(line: Column) -> Column:
+    of = lambda f, c: f(F.transform(line, lambda p: p[c]))
+    return F.struct(of(F.array_min, "x").alias("west"), of(F.array_min, "y").alias("south"), of(F.array_max, "x").alias("east"), of(F.array_max, "y").alias("north"))
+
+
+def bounds(ways: DataFrame, by: str, line: str) -> DataFrame:
+    """by, west, south, east, north: the box around all points; null where there are none."""
+    return ways.select(by, _box(F.col(line)).alias("b")).groupBy(by).agg(F.min("b.west").alias("west"), F.min("b.south").alias("south"), F.max("b.east").alias("east"), F.max("b.north").alias("north"))
+
+
+def boxes_meeting(a: DataFrame, key: str, line: str, b: DataFrame, other: str, other_line: str, cell: float) -> DataFrame:
+    """key, other: lines whose boxes meet, edges included; lines without points meet none.
+
+    Boxes are dealt to the cells that they touch, and a pair is given by the one cell that holds the lower left corner
+    of what the two share, so none comes twice and nothing needs to be made distinct.
+    """
+    def dealt(df: DataFrame, k: str, col: str, to: str) -> DataFrame:
+        box = df.filter(F.size(col) > 0).select(F.col(k), _box(F.col(col)).alias(to))
+        span = lambda lo, hi: F.explode(F.sequence(F.floor(F.col(f"{to}.{lo}") / cell), F.floor(F.col(f"{to}.{hi}") / cell)))
+        return box.withColumn("cx", span("west", "east")).withColumn("cy", span("south", "north"))
+
+    met = dealt(a, key, line, "_a").join(dealt(b, other, other_line, "_b"), ["cx", "cy"])
+    meet = (F.col("_a.west") <= F.col("_b.east")) & (F.col("_b.west") <= F.col("_a.east")) & (F.col("_a.south") <= F.col("_b.north")) & (F.col("_b.south") <= F.col("_a.north"))
+    home = (F.floor(F.greatest("_a.west", "_b.west") / cell) == F.col("cx")) & (F.floor(F.greatest("_a.south", "_b.south") / cell) == F.col("cy"))
+    return met.filter(meet & home).select(key, other)

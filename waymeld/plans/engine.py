@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from waymeld.functions import climb, dates, geo, text, wet
-from waymeld.operators import cdc, gates, lines, orders, physical, ranking, readings, registers
+from waymeld.operators import cdc, closures, dedupe, gates, lines, orders, physical, ranking, readings, registers
 from waymeld.plans.catalog import query, t
 
 TODAY = "1995-06-17"
@@ -575,3 +576,109 @@ SELECT page_id, regexp_replace(regexp_replace(regexp_replace(x, '[ \t\r\f]+', '
 def q_html_text(spark, sf_dir):
     """Readable lines of each page."""
     return t(spark, sf_dir, "pages").select("page_id", text.page_text(F.col("html")).alias("body"))
+
+
+@query("""SELECT o_orderkey AS node, min(o_orderkey) OVER (PARTITION BY o_custkey % 97, o_orderkey // 4096) AS component FROM orders QUALIFY count(*) OVER (PARTITION BY o_custkey % 97, o_orderkey // 4096) > 1""")
+def q_components(spark, sf_dir):
+    """Orders linked to the next of their group: the groups are found again."""
+    group = W.partitionBy(F.col("o_custkey") % 97, F.floor(F.col("o_orderkey") / 4096)).orderBy("o_orderkey")
+    edges = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("a"), F.lead("o_orderkey").over(group).alias("b"))
+    return dedupe.components(edges)
+
+
+@query("""SELECT c_custkey * 4 + 1 AS k, [c_custkey * 4] AS kept FROM customer WHERE c_custkey % 3 <> 2 UNION ALL SELECT c_custkey * 4 + 2, [c_custkey * 4] FROM customer WHERE c_custkey % 3 <> 1 UNION ALL SELECT c_custkey * 4 + 3, [c_custkey * 4] FROM customer WHERE c_custkey % 3 = 2
+UNION ALL SELECT c_custkey * 4 + 1, [c_custkey * 4] FROM customer WHERE c_custkey % 3 = 2""".replace(", [c_custkey * 4] AS kept", ", CAST(c_custkey * 4 AS VARCHAR) AS kept").replace("[c_custkey * 4]", "CAST(c_custkey * 4 AS VARCHAR)"))
+def q_dedupe_twins(spark, sf_dir):
+    """Ways that stand twice: a double of one authority, another's copy, another's pieces; what each went for."""
+    ways = _apart(t(spark, sf_dir, "customer"), "c_custkey", 4)
+    near = _moved(F.lit(0.00005))
+    one = lambda n, code, rows: rows.select((F.col("k") * 4 + n).alias("k"), F.lit(code).alias("code"), "line")
+    copies = one(1, "A", ways.filter("k % 3 <> 2")).unionByName(one(2, "B", ways.filter("k % 3 = 0").withColumn("line", near)))
+    pieces = ways.filter("k % 3 = 2").withColumn("line", near)
+    cut = lambda first, size: pieces.withColumn("line", F.slice("line", first, size))
+    both = one(0, "A", ways).unionByName(copies).unionByName(one(1, "B", cut(1, 2))).unionByName(one(2, "B", cut(2, 2))).unionByName(one(3, "B", cut(3, 3)))
+    gone = dedupe.merged(both.withColumn("kind", F.lit("boat")), "k", "line", "kind", "code")[1]
+    return gone.select("k", F.array_join(F.col("kept").cast("array<string>"), ",").alias("kept"))
+
+
+@query("""SELECT s_suppkey AS k, c_custkey AS street, TRUE AS long FROM supplier JOIN customer ON c_custkey = s_suppkey""")
+def q_streets_along(spark, sf_dir):
+    """Streets that suppliers' ways run along."""
+    streets = _apart(t(spark, sf_dir, "customer"), "c_custkey", 4).select(F.col("k").alias("street"), _moved(F.lit(0.00004)).alias("line"))
+    found = closures.streets_along(_apart(t(spark, sf_dir, "supplier"), "s_suppkey", 2), "k", "line", streets, "street", "line")
+    return found.select("k", "street", (F.col("share") > 0.8).alias("long"))
+
+
+@query("""WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS day, count(*) AS n, min(o_orderkey) AS id FROM orders GROUP BY ALL) SELECT id, n AS parts FROM o""")
+def q_pieces_joined(spark, sf_dir):
+    """Orders of one customer and day as pieces of one."""
+    items = t(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), "o_custkey", F.col("o_orderdate").cast("date").alias("day"), F.array("o_totalprice").alias("parts"))
+    return closures.pieces_joined(items, "id", ["o_custkey", "day"], "parts").select("id", F.size("parts").cast("bigint").alias("parts"))
+
+
+@query("""WITH b AS (SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey % 7 <> 0) SELECT o_orderkey, CASE WHEN o_custkey % 4 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS price FROM b WHERE o_custkey % 4 <> 0 OR o_orderkey % 2 = 0""")
+def q_merge_replace(spark, sf_dir):
+    """Changed customers' orders replace all they had; deleted customers go."""
+    base = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.col("o_totalprice").alias("price"))
+    changed = base.filter("o_custkey % 4 = 0 AND o_orderkey % 2 = 0").withColumn("price", F.col("price") + 1)
+    # A customer whose every order went is not among the changed, so these count as deleted.
+    emptied = base.filter("o_custkey % 4 = 0").select("o_custkey").distinct().join(changed.select("o_custkey"), "o_custkey", "left_anti")
+    deleted = base.filter("o_custkey % 7 = 0").select("o_custkey").distinct().unionByName(emptied)
+    return cdc.merge_replace(base, changed, deleted, "o_custkey").select("o_orderkey", "price")
+
+
+_BOXES = [("west", -5.0, 49.0, -1.0, 56.0), ("mid", -2.0, 50.5, 1.0, 53.25), ("east", 0.0, 52.0, 2.5, 52.0)]
+
+
+@query(f"""WITH p AS ({_WAY('customer', 'c_custkey', 4)}), b(box, w, s, e, n) AS (VALUES {', '.join(f"('{n}', {a}::DOUBLE, {b}::DOUBLE, {c}::DOUBLE, {d}::DOUBLE)" for n, a, b, c, d in _BOXES)})
+SELECT k, box FROM p JOIN b ON lon BETWEEN w AND e AND lat BETWEEN s AND b.n GROUP BY 1, 2""")
+def q_region_multimatch(spark, sf_dir):
+    """Regions that each way has a point in; a way may lie in several."""
+    ways = _ways(t(spark, sf_dir, "customer"), "c_custkey", 4)
+    named = F.filter(F.array(*[F.when(registers.in_region(F.col("line"), box), F.lit(name)) for name, *box in _BOXES]), lambda b: b.isNotNull())
+    return ways.select("k", F.explode(named).alias("box"))
+
+
+@query(f"""WITH a AS ({_WAY('customer', 'c_custkey', 4)}), b AS ({_WAY('supplier', 's_suppkey', 12)}), box AS (SELECT 'a' AS side, k, min(lon) AS w, max(lon) AS e, min(lat) AS s, max(lat) AS n FROM a GROUP BY k UNION ALL SELECT 'b', k, min(lon), max(lon), min(lat), max(lat) FROM b GROUP BY k)
+SELECT x.k AS a, y.k AS b FROM box x JOIN box y ON x.side = 'a' AND y.side = 'b' AND x.w <= y.e AND y.w <= x.e AND x.s <= y.n AND y.s <= x.n""")
+def q_bbox_overlap(spark, sf_dir):
+    """Customers' and suppliers' ways whose boxes meet."""
+    a, b = _ways(t(spark, sf_dir, "customer"), "c_custkey", 4), _ways(t(spark, sf_dir, "supplier"), "s_suppkey", 12)
+    return registers.boxes_meeting(a, "k", "line", b.withColumnRenamed("k", "other"), "other", "line", 0.05).select(F.col("k").alias("a"), F.col("other").alias("b"))
+
+
+@query(f"SELECT min(lon) AS west, min(lat) AS south, max(lon) AS east, max(lat) AS north, k % 25 AS area FROM ({_WAY('customer', 'c_custkey', 4)}) GROUP BY k % 25")
+def q_bounds(spark, sf_dir):
+    """The box around each area's ways."""
+    return registers.bounds(_ways(t(spark, sf_dir, "customer"), "c_custkey", 4).withColumn("area", F.col("k") % 25), "area", "line")
+
+
+@query("SELECT TRUE AS same_in_any_order, TRUE AS other_if_changed, TRUE AS other_if_repeated")
+def q_digest_equal(spark, sf_dir):
+    """A digest of content knows no order, but every value and every row."""
+    rows = t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    changed = rows.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 5003 == 1, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    say = lambda df, name: cdc.content_digest(df).select(F.col("digest").alias(name))
+    four = say(rows, "a").join(F.broadcast(say(rows.repartition(7, "o_custkey"), "b"))).join(F.broadcast(say(changed, "c"))).join(F.broadcast(say(rows.unionByName(rows.filter("o_custkey % 10 = 1")), "d")))
+    return four.select((F.col("a") == F.col("b")).alias("same_in_any_order"), (F.col("a") != F.col("c")).alias("other_if_changed"), (F.col("a") != F.col("d")).alias("other_if_repeated"))
+
+
+@query("SELECT l_orderkey, count(*) AS n FROM (SELECT l_orderkey FROM lineitem) l WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderkey % 10 <> 3) GROUP BY 1")
+def q_ref_integrity(spark, sf_dir):
+    """Lines whose order is not there."""
+    return gates.unknown_keys(t(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey", t(spark, sf_dir, "orders").filter("o_orderkey % 10 <> 3").select("o_orderkey"), "o_orderkey")
+
+
+@query("""SELECT k, min(src) AS src, arg_min(name, src) AS name FROM (SELECT c_custkey AS k, 2 AS src, c_name AS name FROM customer UNION ALL SELECT s_suppkey, 1, s_name FROM supplier UNION ALL SELECT n_nationkey, 3, n_name FROM nation) x GROUP BY 1""")
+def q_union_dedupe(spark, sf_dir):
+    """Registers in order of trust, of each key the first."""
+    one = lambda table, key, name, src: t(spark, sf_dir, table).select(F.col(key).cast("long").alias("k"), F.lit(src).alias("src"), F.col(name).alias("name"))
+    rows = one("customer", "c_custkey", "c_name", 2).unionByName(one("supplier", "s_suppkey", "s_name", 1)).unionByName(one("nation", "n_nationkey", "n_name", 3))
+    return cdc.latest_by_key(rows, "k", F.asc("src"), F.asc("name"))
+
+
+@query("SELECT p_partkey, p_name || ' & <' || p_brand || '> é ' || p_container AS clean FROM part".replace("|| p_container", "|| coalesce(p_type, '')"))
+def q_text_clean(spark, sf_dir):
+    """Texts with character references, some written twice over, and odd spaces made plain."""
+    dirty = F.concat(F.col("p_name"), F.lit("\u00a0&amp;amp;\u202f&lt;"), F.col("p_brand"), F.lit("&gt; &#233;\u2007"), F.coalesce("p_type", F.lit("")))
+    return t(spark, sf_dir, "part").select("p_partkey", text.clean_text(dirty).alias("clean"))
