@@ -6,7 +6,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from waymeld.functions import climb, dates, geo, text, wet
-from waymeld.operators import cdc, closures, dedupe, gates, lines, orders, physical, ranking, readings, registers
+from waymeld.operators import cdc, closures, dedupe, gates, heights, lines, orders, physical, ranking, readings, registers
 from waymeld.plans.catalog import query, t
 
 TODAY = "1995-06-17"
@@ -682,3 +682,14 @@ def q_text_clean(spark, sf_dir):
     """Texts with character references, some written twice over, and odd spaces made plain."""
     dirty = F.concat(F.col("p_name"), F.lit("\u00a0&amp;amp;\u202f&lt;"), F.col("p_brand"), F.lit("&gt; &#233;\u2007"), F.coalesce("p_type", F.lit("")))
     return t(spark, sf_dir, "part").select("p_partkey", text.clean_text(dirty).alias("clean"))
+
+
+@query("SELECT c_custkey AS k, round(40 * (1 + c_custkey % 4) * 0.001 / 360 * 65536, 1) AS climb_m, CAST(0 AS DOUBLE) AS descent_m FROM customer")
+def q_way_heights(spark, sf_dir):
+    """What each way climbs on a slope that rises evenly eastwards, from tiles of heights."""
+    ways = _apart(t(spark, sf_dir, "customer"), "c_custkey", 4).select("k", F.slice("line", F.lit(1), (F.col("k") % 4 + 2).cast("int")).alias("line"))
+    met = ways.select(F.explode(geo.tiles_touched(F.col("line"), 8)).alias("t")).distinct()
+    around = met.select(F.explode(F.array(*[F.struct((F.col("t.x") + i).alias("x"), (F.col("t.y") + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("t")).distinct().select("t.*")
+    slope = F.transform(F.sequence(F.lit(0), F.lit(heights.SIDE**2 - 1)), lambda i: (F.col("x") * heights.SIDE + i % heights.SIDE) * 40.0)
+    out = heights.measured(ways.select("k", F.array("line").alias("parts")), "k", "parts", around.select("x", "y", slope.alias("heights")), 8)
+    return out.select("k", "climb_m", "descent_m")
