@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymeld.functions.geo import haversine_m
+from waymeld.operators.lineage import cut
 
 #: Metres of a degree of latitude, at the least.
 DEGREE_M = 110_000.0
+#: Right points that a cell of the first search of `nearest` may hold, and quarterings of its radius at most.
+BUSY, FINEST = 16, 8
 
 
 def _band(lat: Column, metres: float) -> Column:
@@ -52,7 +55,30 @@ def near_semi(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
     return l.join(r, (F.col("_r") == F.col("_r2")) & (F.col("_c") == F.col("_c2")) & (_distance() <= metres), "left_semi").drop("_r", "_c")
 
 
+def _fine(spots: DataFrame, metres: float) -> float:
+    """A radius of metres / 4^k at which no cell holds more than BUSY of the places; of the least one, at most FINEST steps down, it may."""
+    for k in range(FINEST + 1):
+        radius = metres / 4**k
+        most = _cells(spots, "rlat", "rlon", radius).groupBy("_r", "_c").count().agg(F.max("count")).first()[0]
+        if k == FINEST or (most or 0) <= BUSY:
+            return radius
+
+
 def nearest(left: DataFrame, right: DataFrame, metres: float) -> DataFrame:
-    """Every left row with its nearest right point, ties by rid; NULL beyond `metres`."""
-    best = candidates(left, right, metres).groupBy("lid").agg(F.min(F.struct("m", "rid")).alias("b"))
-    return left.join(best, "lid", "left").select("lid", F.col("b.rid").alias("rid"), F.col("b.m").alias("m"))
+    """Every left row with its nearest right point, ties by rid; NULL beyond `metres`.
+
+    Places ask, not rows: those of many rows ask once, and of right points at one place the least rid answers. A small
+    circle is searched first, and only places without an answer in it ask again in a wider one, up to `metres`.
+    """
+    spots = cut(right.groupBy("rlat", "rlon").agg(F.min("rid").alias("rid")))
+    asked, best = cut(left.filter("llat IS NOT NULL AND llon IS NOT NULL").select("llat", "llon").distinct()), None
+    radius = _fine(spots, metres)
+    while True:
+        found = cut(candidates(asked, spots, radius).groupBy("llat", "llon").agg(F.min(F.struct("m", "rid")).alias("b")))
+        best = found if best is None else best.unionByName(found)
+        if radius >= metres:
+            break
+        asked, radius = cut(asked.join(found, ["llat", "llon"], "left_anti")), min(metres, radius * 4)
+        if asked.isEmpty():
+            break
+    return left.join(best, ["llat", "llon"], "left").select("lid", F.col("b.rid").alias("rid"), F.col("b.m").alias("m"))
