@@ -187,16 +187,25 @@ def folded(council: DataFrame, feed: DataFrame, key: str) -> tuple[DataFrame, Da
     """council without the orders that the feed has too, and feed with `also`, the keys of those, and `ways` of both.
 
     Both: key, tra, kind, start, end (dates), form, line, ways. Two are one order if authority and kind are the same,
-    their dates are near and their places overlap. Dates are dealt to buckets as wide as they may differ, so an
-    authority with very many orders is no all-pairs join; a null start meets every bucket of its authority and kind.
+    their dates are near and their places overlap. Orders alike in all of these are held against others once, as one.
+    Dates are dealt to buckets as wide as they may differ, ends where there are any, else starts, so an authority with
+    very many orders is no all-pairs join; a null start without end meets every order without end of its authority and kind.
     """
-    slot = lambda c, days: F.coalesce(F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days), F.lit(-1).cast("bigint"))
+    slot = lambda c, days: F.floor(F.datediff(c, F.lit("1970-01-01").cast("date")) / days)
+    bucket = lambda how, at: F.struct(F.lit(how).alias("how"), F.coalesce(at, F.lit(0)).cast("bigint").alias("at"))
+    around = lambda how, c, days: [bucket(how, slot(c, days) + k) for k in (-1, 0, 1)]
     a = council.select(F.col(key).alias("ak"), "tra", "kind", F.col("start").alias("a_start"), F.col("end").alias("a_end"), F.col("form").alias("a_form"), F.col("line").alias("a_line"), F.col("ways").alias("a_ways"))
     b = feed.select(F.col(key).alias("bk"), "tra", "kind", F.col("start").alias("b_start"), F.col("end").alias("b_end"), F.col("form").alias("b_form"), F.col("line").alias("b_line"))
-    spread = a.withColumn("slot", F.explode(F.when(F.col("a_end").isNull(), F.array(F.lit(-1).cast("bigint"))).otherwise(F.transform(F.array(*[F.lit(k) for k in (-1, 0, 1)]), lambda k: slot(F.col("a_end"), 15) + k))))
-    pairs = spread.join(b.withColumn("slot", slot(F.col("b_end"), 15)), ["tra", "kind", "slot"]).filter(same_dates(F.col("a_start"), F.col("a_end"), F.col("a_form"), F.col("b_start"), F.col("b_end"), F.col("b_form")))
+    said = ["tra", "kind", "a_start", "a_end", "a_form", "a_line"]
+    asks = F.when(F.col("a_end").isNotNull(), F.array(*around("end", F.col("a_end"), 15))).when(F.col("a_start").isNotNull(), F.array(*around("start", F.col("a_start"), 4), bucket("none", F.lit(0)))).otherwise(F.array(bucket("all", F.lit(0))))
+    answers = F.when(F.col("b_end").isNotNull(), F.array(bucket("end", slot(F.col("b_end"), 15)))).when(F.col("b_start").isNotNull(), F.array(bucket("start", slot(F.col("b_start"), 4)), bucket("all", F.lit(0)))).otherwise(F.array(bucket("none", F.lit(0)), bucket("all", F.lit(0))))
+    spread = a.select(said).distinct().withColumn("slot", F.explode(asks))
+    alike = b.groupBy("tra", "kind", "b_start", "b_end", "b_form", "b_line").agg(F.min("bk").alias("bk")).withColumn("slot", F.explode(answers))
+    pairs = spread.join(alike, ["tra", "kind", "slot"]).filter(same_dates(F.col("a_start"), F.col("a_end"), F.col("a_form"), F.col("b_start"), F.col("b_end"), F.col("b_form")))
     # Boxes that lie apart are settled before lines leave the JVM. An order folds into one twin only, the one with the least key.
-    twins = pairs.filter(_boxes_meet(F.col("a_line"), F.col("b_line"), 25.0)).filter(same_place("a_line", "b_line")).groupBy("ak").agg(F.min("bk").alias("bk"), F.first("a_ways").alias("a_ways"))
+    met = pairs.filter(_boxes_meet(F.col("a_line"), F.col("b_line"), 25.0)).filter(same_place("a_line", "b_line")).groupBy(said).agg(F.min("bk").alias("bk"))
+    found = a.alias("a").join(met.alias("m"), [F.col(f"a.{c}").eqNullSafe(F.col(f"m.{c}")) for c in said]).select("ak", "bk", "a_ways")
+    twins = found.groupBy("ak").agg(F.min("bk").alias("bk"), F.first("a_ways").alias("a_ways"))
     taken = twins.groupBy(F.col("bk").alias(key)).agg(F.sort_array(F.collect_list("ak")).alias("also"), F.flatten(F.collect_list("a_ways")).alias("_more"))
     more = feed.join(taken, key, "left").withColumn("ways", F.when(F.col("_more").isNotNull(), F.sort_array(F.array_union(F.coalesce("ways", F.array().cast("array<string>")), "_more"))).otherwise(F.col("ways"))).drop("_more")
     return council.join(twins.select(F.col("ak").alias(key)), key, "left_anti"), more
