@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -296,19 +298,29 @@ def unpack_lines(body: pd.Series) -> pd.Series:
     return body.map(one, na_action="ignore")
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y", "d")])))
-def resampled(line: pd.Series) -> pd.Series:
-    """Points every EVERY_M along a line with their distance from its start; its own end is always the last."""
-    def one(points) -> list:
-        p = np.array([(q["x"], q["y"]) for q in points], dtype=float).reshape(-1, 2)
-        if len(p) < 2:
-            return [{"x": x, "y": y, "d": 0.0} for x, y in p.tolist()]
-        lon, lat = np.radians(p[:, 0]), np.radians(p[:, 1])
-        h = np.sin(np.diff(lat) / 2) ** 2 + np.cos(lat[:-1]) * np.cos(lat[1:]) * np.sin(np.diff(lon) / 2) ** 2
-        ends = np.concatenate(([0.0], np.cumsum(2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(1.0, h))))))
-        at = np.arange(0.0, ends[-1], EVERY_M) if ends[-1] > 0 else np.zeros(1)
-        at = np.append(at[at <= ends[-1] - 1e-9] if ends[-1] > 0 else at, [ends[-1]] if ends[-1] > 0 else [])
-        moved = np.concatenate(([True], np.diff(ends) > 0))
-        return [{"x": x, "y": y, "d": d} for x, y, d in zip(np.interp(at, ends[moved], p[moved, 0]).tolist(), np.interp(at, ends[moved], p[moved, 1]).tolist(), at.tolist())]
+def by_line(lines: pa.Array, make: Callable[[np.ndarray], np.ndarray], columns: tuple[str, ...]) -> pa.Array:
+    """make(points) of every line, as lists of structs of numbers; null lines stay null. Points pass as arrays, never one by one."""
+    xy = np.column_stack([lines.values.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("x", "y")])
+    ends, known = lines.offsets.to_numpy(), lines.is_valid().to_numpy(zero_copy_only=False)
+    made = [make(xy[a:b]) if k else np.zeros((0, len(columns))) for a, b, k in zip(ends[:-1].tolist(), ends[1:].tolist(), known.tolist())]
+    rows = np.concatenate([np.zeros((0, len(columns))), *made])
+    out = pa.StructArray.from_arrays([pa.array(rows[:, i]) for i in range(len(columns))], names=list(columns))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, made)]), pa.int32()), out, mask=pa.array(~known))
 
-    return line.map(one, na_action="ignore")
+
+def _every(p: np.ndarray) -> np.ndarray:
+    if len(p) < 2:
+        return np.column_stack((p, np.zeros(len(p))))
+    lon, lat = np.radians(p[:, 0]), np.radians(p[:, 1])
+    h = np.sin(np.diff(lat) / 2) ** 2 + np.cos(lat[:-1]) * np.cos(lat[1:]) * np.sin(np.diff(lon) / 2) ** 2
+    ends = np.concatenate(([0.0], np.cumsum(2 * EARTH_M * np.arcsin(np.sqrt(np.minimum(1.0, h))))))
+    at = np.arange(0.0, ends[-1], EVERY_M) if ends[-1] > 0 else np.zeros(1)
+    at = np.append(at[at <= ends[-1] - 1e-9] if ends[-1] > 0 else at, [ends[-1]] if ends[-1] > 0 else [])
+    moved = np.concatenate(([True], np.diff(ends) > 0))
+    return np.column_stack((np.interp(at, ends[moved], p[moved, 0]), np.interp(at, ends[moved], p[moved, 1]), at))
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y", "d")])))
+def resampled(line: pa.Array) -> pa.Array:
+    """Points every EVERY_M along a line with their distance from its start; its own end is always the last."""
+    return by_line(line, _every, ("x", "y", "d"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,35 +21,56 @@ WIDTHS, GAPS = ("width", "maxwidth", "est_width", "maxwidth:physical"), ("maxwid
 ATTRIBUTES = ("surface", "smoothness", "tracktype")
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y", "angle")])))
-def spaced(line: pd.Series) -> pd.Series:
+def _spaced(p: np.ndarray) -> np.ndarray:
+    if len(p) < 2:
+        return np.zeros((0, 3))
+    p = np.column_stack((p[:, 0] * geo.LON_M * np.cos(np.radians(p[:, 1])), p[:, 1] * geo.LAT_M))
+    d = np.diff(p, axis=0)
+    size = np.hypot(d[:, 0], d[:, 1])
+    ends = np.cumsum(size)
+    at = np.linspace(0.0, ends[-1], max(3, int(ends[-1] / STEP) + 1))
+    leg = np.minimum(np.searchsorted(ends, at, side="left"), len(size) - 1)
+    t = np.clip(np.divide(at - (ends[leg] - size[leg]), size[leg], out=np.zeros(len(at)), where=size[leg] > 0), 0, 1)[:, None]
+    return np.column_stack((p[leg] + d[leg] * t, np.arctan2(d[leg, 1], d[leg, 0])))
+
+
+@F.arrow_udf(T.ArrayType(T.StructType([T.StructField(c, T.DoubleType()) for c in ("x", "y", "angle")])))
+def spaced(line: pa.Array) -> pa.Array:
     """Points of a line in metres, evenly spaced about STEP apart and three at least, with the bearing of their segment. Lines of fewer than two points have none."""
-    def one(pts) -> list:
-        p = np.array([(q["x"], q["y"]) for q in pts], dtype=float).reshape(-1, 2)
-        if len(p) < 2:
-            return []
-        p = np.column_stack((p[:, 0] * geo.LON_M * np.cos(np.radians(p[:, 1])), p[:, 1] * geo.LAT_M))
-        d = np.diff(p, axis=0)
-        size = np.hypot(d[:, 0], d[:, 1])
-        ends = np.cumsum(size)
-        at = np.linspace(0.0, ends[-1], max(3, int(ends[-1] / STEP) + 1))
-        leg = np.minimum(np.searchsorted(ends, at, side="left"), len(size) - 1)
-        t = np.clip(np.divide(at - (ends[leg] - size[leg]), size[leg], out=np.zeros(len(at)), where=size[leg] > 0), 0, 1)[:, None]
-        return [{"x": x, "y": y, "angle": a} for (x, y), a in zip((p[leg] + d[leg] * t).tolist(), np.arctan2(d[leg, 1], d[leg, 0]).tolist())]
-
-    return line.map(one, na_action="ignore")
+    return geo.by_line(line, _spaced, ("x", "y", "angle"))
 
 
 def hits(ways: DataFrame, key: str, line: str, surveyed: DataFrame, other: str, other_line: str, cell: float = 200.0) -> tuple[DataFrame, DataFrame]:
     """(key, other, points: numbers of the way's points that lie on the line and run with it), (key, total: the way's points)."""
-    pts = ways.select(key, F.posexplode(spaced(line)).alias("i", "p")).select(key, "i", "p.*")
-    legs = lines.segments(surveyed.select(F.col(other).alias("_o"), other_line), "_o", other_line).withColumn("_a", F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")))
+    # Lines are small and their points many, so lines are dealt out before they are taken apart.
+    each = ways.select(key, line).repartition(key).select(key, spaced(line).alias("_s"))
+    # Outer, since the filter that Spark adds to a plain one would be pushed below the dealing and take the lines apart there too.
+    pts = each.select(key, F.posexplode_outer("_s").alias("i", "p")).filter("i IS NOT NULL").select(key, "i", "p.*")
+    legs = lines.segments(surveyed.select(F.col(other).alias("_o"), other_line).repartition("_o"), "_o", other_line).withColumn("_a", F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")))
     dealt = legs.withColumn("cx", lines._span(F.col("ax"), F.col("bx"), ON, cell)).withColumn("cy", lines._span(F.col("ay"), F.col("by"), ON, cell))
     met = pts.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell)).join(dealt, ["cx", "cy"]).filter(
         (geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= ON) & (F.abs(F.cos(F.col("_a") - F.col("angle"))) >= COS))
     return met.groupBy(key, F.col("_o").alias(other)).agg(F.sort_array(F.collect_set("i")).alias("points")), pts.groupBy(key).agg(F.count("*").alias("total"))
 
 
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in ("line", "weight", "fresh")])))
+def _greedy(lines_points: pd.Series) -> pd.Series:
+    """Of one way's lines in order, those that are taken: their place in it, their points, and how many of these are new."""
+    def one(found) -> list:
+        left, covered, out = [(i, set(map(int, f["p"]))) for i, f in enumerate(found)], set(), []
+        while left:
+            best = max(left, key=lambda r: len(r[1] - covered))
+            new = best[1] - covered
+            if not new:
+                break
+            covered |= new
+            out.append({"line": best[0], "weight": len(best[1]), "fresh": len(new)})
+            left.remove(best)
+        return out
+
+    return lines_points.map(one)
+
+
 def under(ways: DataFrame, key: str, line: str, surveyed: DataFrame, other: str, other_line: str) -> DataFrame:
     """key, other, weight (points covered), cover: surveyed lines under each way, and the share of its points that all of them cover.
 
@@ -58,21 +80,11 @@ def under(ways: DataFrame, key: str, line: str, surveyed: DataFrame, other: str,
     """
     found, totals = hits(ways, key, line, surveyed, other, other_line)
     good = found.join(totals, key).filter((F.size("points") >= LEAST) & (F.size("points") >= SHARE * F.col("total")))
-
-    def greedy(rows: pd.DataFrame) -> pd.DataFrame:
-        left = sorted(((p[0], o, set(p)) for o, p in zip(rows[other], (list(map(int, q)) for q in rows["points"]))), key=lambda r: r[:2])
-        covered, out = set(), []
-        while left:
-            best = max(left, key=lambda r: len(r[2] - covered))
-            if not best[2] - covered:
-                break
-            covered |= best[2]
-            out.append((rows[key].iloc[0], best[1], len(best[2])))
-            left.remove(best)
-        return pd.DataFrame(out, columns=[key, other, "weight"]).assign(cover=len(covered) / float(rows["total"].iloc[0]))
-
-    kinds = dict(good.dtypes)
-    return good.groupBy(key).applyInPandas(greedy, f"{key} {kinds[key]}, {other} {kinds[other]}, weight bigint, cover double")
+    row = F.struct(F.get("points", 0).alias("at"), F.col(other).alias("o"), F.col("points").alias("p"))
+    ways_lines = good.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("_l"), F.first("total").alias("_n"))
+    taken = ways_lines.withColumn("_t", _greedy(F.transform("_l", lambda l: F.struct(l["p"].alias("p")))))
+    cover = F.aggregate("_t", F.lit(0).cast("bigint"), lambda s, t: s + t["fresh"]) / F.col("_n")
+    return taken.select(key, "_l", cover.alias("cover"), F.explode_outer("_t").alias("_t")).select(key, F.get("_l", F.col("_t.line").cast("int"))["o"].alias(other), F.col("_t.weight").alias("weight"), "cover")
 
 
 def narrowest(tags: Column, names: tuple = WIDTHS) -> Column:
