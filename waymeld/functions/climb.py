@@ -39,8 +39,8 @@ def smooth(heights: Column, passes: int = 1) -> Column:
     def once(now: Column) -> Column:
         return F.transform(now, lambda h, i: F.when((i == 0) | (i == F.size(now) - 1), h).otherwise((F.get(now, i - 1) + 2 * h + F.get(now, i + 1)) / 4))
 
-    for _ in range(passes):
-        out = once(out)
+    for _ in range(passes):  # a pass is bound to a name, else each height would make the whole pass before anew
+        out = F.get(F.transform(F.array(out), once), 0)
     return out
 
 

@@ -12,8 +12,8 @@ from pyspark.sql import types as T
 
 from waymeld.functions import climb, geo
 
-#: Pixels along a tile's side, and passes of smoothing.
-SIDE, PASSES = 256, 2
+#: Pixels along a tile's side and along that of a block, which divides it, and passes of smoothing.
+SIDE, BLOCK, PASSES = 256, 32, 2
 
 
 def _pixels(body: bytes) -> np.ndarray:
@@ -74,16 +74,25 @@ def picture_heights(tile: pd.Series) -> pd.Series:
 def heights_at(points: DataFrame, point: str, lon: str, lat: str, tiles: DataFrame, zoom: int) -> DataFrame:
     """point, height: between the centres of the four pixels around each point; those that no tile holds count as the mean of the others, and a point without any has no row.
 
-    tiles: x, y, heights of one zoom, SIDE by SIDE. Points ask for pixels by tile, so tiles are shuffled once and no array leaves the join.
+    tiles: x, y, heights of one zoom, SIDE by SIDE. Tiles are dealt in blocks of pixels, so a point asks once for each
+    block that its four pixels lie in, mostly one, and those of one tile are met in many tasks.
     """
+    many = SIDE // BLOCK
     px, py = geo.tile_x(F.col(lon), zoom) * SIDE - 0.5, geo.tile_y(F.col(lat), zoom) * SIDE - 0.5
-    asked = points.select(F.col(point).alias("_p"), px.alias("_x"), py.alias("_y"), F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])).alias("_c"))
-    cell = asked.withColumn("_gx", F.floor("_x") + F.col("_c.i")).withColumn("_gy", F.floor("_y") + F.col("_c.j"))
-    placed = cell.withColumn("x", F.floor(F.col("_gx") / SIDE)).withColumn("y", F.floor(F.col("_gy") / SIDE))
-    spot = F.pmod(F.col("_gy"), F.lit(SIDE)) * SIDE + F.pmod(F.col("_gx"), F.lit(SIDE))
-    read = placed.join(tiles.select(F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "heights"), ["x", "y"]).select("_p", "_x", "_y", "_c", F.get("heights", spot.cast("int")).alias("h")).filter("h IS NOT NULL")
-    corner = lambda i, j: F.max(F.when((F.col("_c.i") == i) & (F.col("_c.j") == j), F.col("h")))
-    found = read.groupBy("_p").agg(F.first("_x").alias("_x"), F.first("_y").alias("_y"), F.avg("h").alias("_mean"), *[corner(i, j).alias(f"_h{i}{j}") for i in (0, 1) for j in (0, 1)])
+    asked = points.select(F.col(point).alias("_p"), px.alias("_x"), py.alias("_y")).withColumn("_gx", F.floor("_x")).withColumn("_gy", F.floor("_y"))
+    block = lambda i, j: F.struct(F.floor((F.col("_gx") + i) / BLOCK).alias("bx"), F.floor((F.col("_gy") + j) / BLOCK).alias("by"))
+    corners = [(i, j) for i in (0, 1) for j in (0, 1)]
+    placed = asked.withColumn("_b", F.explode(F.array_distinct(F.array(*[block(i, j) for i, j in corners])))).select("_p", "_x", "_y", "_gx", "_gy", "_b.*")
+    dealt = tiles.select(F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y"), "heights", F.explode(F.sequence(F.lit(0), F.lit(many**2 - 1))).alias("n"))
+    left, top = F.pmod(F.col("n"), F.lit(many)), F.floor(F.col("n") / many)
+    rows = F.transform(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda r: F.slice("heights", ((top * BLOCK + r) * SIDE + left * BLOCK + 1).cast("int"), F.lit(BLOCK)))
+    blocks = dealt.select((F.col("x") * many + left).alias("bx"), (F.col("y") * many + top).alias("by"), rows.alias("_rows"))
+    read = placed.join(blocks, ["bx", "by"])
+    at = lambda i, j: F.when(block(i, j) == F.struct("bx", "by"), F.get(F.get("_rows", F.pmod(F.col("_gy") + j, F.lit(BLOCK)).cast("int")), F.pmod(F.col("_gx") + i, F.lit(BLOCK)).cast("int")))
+    found = read.select("_p", "_x", "_y", *[at(i, j).alias(f"_h{i}{j}") for i, j in corners]).groupBy("_p").agg(F.first("_x").alias("_x"), F.first("_y").alias("_y"), *[F.max(f"_h{i}{j}").alias(f"_h{i}{j}") for i, j in corners])
+    own = [F.col(f"_h{i}{j}") for i, j in corners]
+    known = sum((F.when(c.isNotNull(), 1).otherwise(0) for c in own), F.lit(0))
+    found = found.withColumn("_mean", sum((F.coalesce(c, F.lit(0.0)) for c in own), F.lit(0.0)) / F.nullif(known, F.lit(0))).filter("_mean IS NOT NULL")
     h = {k: F.coalesce(f"_h{k}", "_mean") for k in ("00", "10", "01", "11")}
     dx, dy = F.col("_x") - F.floor("_x"), F.col("_y") - F.floor("_y")
     top, foot = h["00"] + (h["10"] - h["00"]) * dx, h["01"] + (h["11"] - h["01"]) * dx
@@ -92,8 +101,9 @@ def heights_at(points: DataFrame, point: str, lon: str, lat: str, tiles: DataFra
 
 def profiles(ways: DataFrame, key: str, parts: str, tiles: DataFrame, zoom: int, passes: int = PASSES) -> DataFrame:
     """key, pos, heights (smoothed), distances of each line of each way, at points 25 m apart that a tile holds; of lines with two such points."""
-    lines = ways.select(key, F.posexplode(parts).alias("pos", "_line"))
-    points = lines.select(key, "pos", F.posexplode(geo.resampled("_line")).alias("_i", "_q")).select(F.struct(key, "pos", "_i").alias("at"), "_q.*")
+    # Ways are small and their points many, so ways are dealt out before; outer, since the filter of a plain one would be pushed below that.
+    lines = ways.select(key, parts).repartition(key).select(key, F.posexplode(parts).alias("pos", "_line"))
+    points = lines.select(key, "pos", F.posexplode_outer(geo.resampled("_line")).alias("_i", "_q")).filter("_i IS NOT NULL").select(F.struct(key, "pos", "_i").alias("at"), "_q.*")
     known = points.join(heights_at(points, "at", "x", "y", tiles, zoom), "at")
     rows = known.groupBy(F.col(f"at.{key}").alias(key), F.col("at.pos").alias("pos")).agg(F.sort_array(F.collect_list(F.struct(F.col("at._i").alias("i"), "height", "d"))).alias("_s")).filter(F.size("_s") > 1)
     return rows.select(key, "pos", climb.smooth(F.transform("_s", lambda s: s["height"]), passes).alias("heights"), F.transform("_s", lambda s: s["d"]).alias("distances"))

@@ -691,6 +691,7 @@ def q_way_heights(spark, sf_dir):
     ways = _apart(t(spark, sf_dir, "customer"), "c_custkey", 4).select("k", F.slice("line", F.lit(1), (F.col("k") % 4 + 2).cast("int")).alias("line"))
     met = ways.select(F.explode(geo.tiles_touched(F.col("line"), 8)).alias("t")).distinct()
     around = met.select(F.explode(F.array(*[F.struct((F.col("t.x") + i).alias("x"), (F.col("t.y") + j).alias("y")) for i in (-1, 0, 1) for j in (-1, 0, 1)])).alias("t")).distinct().select("t.*")
-    slope = F.transform(F.sequence(F.lit(0), F.lit(heights.SIDE**2 - 1)), lambda i: (F.col("x") * heights.SIDE + i % heights.SIDE) * 40.0)
+    last = F.when(F.col("x").isNotNull(), heights.SIDE**2 - 1)  # no constant, else the plan would hold 65,536 numbers
+    slope = F.transform(F.sequence(F.lit(0), last), lambda i: (F.col("x") * heights.SIDE + i % heights.SIDE) * 40.0)
     out = heights.measured(ways.select("k", F.array("line").alias("parts")), "k", "parts", around.select("x", "y", slope.alias("heights")), 8)
     return out.select("k", "climb_m", "descent_m")
