@@ -38,14 +38,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def _near(ways: DataFrame, key: str, line: str, kind: str, code: str, d: float) -> tuple[DataFrame, DataFrame]:
-    """(a, at, b): points of a within d metres of b, of one kind and another code; (a, n): the points of a."""
+    """(a, b, ats): points of a within d metres of b, of one kind and another code; (a, n): the points of a."""
     said = ways.select(key, kind, code)
     pts = lines.samples(ways, key, line).select(key, "_at", "x", "y").join(said, key)
     legs = lines.segments(ways, key, line).join(said, key).select(F.col(key).alias("b"), kind, F.col(code).alias("_other"), "ax", "ay", "bx", "by")
     dealt = legs.withColumn("cx", lines._span(F.col("ax"), F.col("bx"), d, lines.CELL)).withColumn("cy", lines._span(F.col("ay"), F.col("by"), d, lines.CELL))
     asked = pts.withColumn("cx", F.floor(F.col("x") / lines.CELL)).withColumn("cy", F.floor(F.col("y") / lines.CELL))
     close = geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= d
-    met = asked.join(dealt, ["cx", "cy", kind]).filter((F.col(code) != F.col("_other")) & close).select(F.col(key).alias("a"), F.col("_at").alias("at"), "b").distinct()
+    met = asked.join(dealt, ["cx", "cy", kind]).filter((F.col(code) != F.col("_other")) & close).groupBy(F.col(key).alias("a"), "b").agg(F.collect_set("_at").alias("ats"))
     return met, pts.groupBy(F.col(key).alias("a")).agg(F.count("*").alias("n"))
 
 
@@ -57,18 +57,19 @@ def split_groups(ways: DataFrame, key: str, line: str, kind: str, code: str, ran
     the side of lesser rank, then the longer, then of the lesser code. A group of which a record has gone in an earlier
     one (by kind and codes) is left alone, as is one whose sides do not agree.
     """
-    facts = ways.filter(F.size(line) > 1).select(key, kind, code, rank.alias("_rank"), geo.length_m(F.col(line)).alias("_m"))
+    facts = cut(ways.filter(F.size(line) > 1).select(key, kind, code, rank.alias("_rank"), geo.length_m(F.col(line)).alias("_m")))
     near, counts = _near(ways, key, line, kind, code, d)
     near, counts = cut(near), cut(counts)
-    shares = near.groupBy("a", "b").agg(F.count("*").alias("hit")).join(counts, "a").filter(F.col("hit") >= LINK * F.col("n"))
+    shares = near.select("a", "b", F.size("ats").alias("hit")).join(counts, "a").filter(F.col("hit") >= LINK * F.col("n"))
     one, two = (facts.select(F.col(key).alias(k), F.col(kind).alias(f"_kind_{k}"), F.col(code).alias(f"_code_{k}")) for k in ("a", "b"))
     where = F.struct(F.col("_kind_a").alias("kind"), F.least("_code_a", "_code_b").alias("c1"), F.greatest("_code_a", "_code_b").alias("c2"))
     edges = shares.join(one, "a").join(two, "b").select(F.struct(where.alias("w"), F.col("a").alias("id")).alias("a"), F.struct(where.alias("w"), F.col("b").alias("id")).alias("b"))
     members = cut(components(edges).select(F.col("component").alias("g"), F.col("node.id").alias(key)).join(facts, key))
 
+    # Tables that several steps read are stored: plans stay small, and with them what the driver holds of them.
     sides = members.groupBy("g", code).agg(F.sum("_m").alias("m"), F.min("_rank").alias("rank"), F.count("*").alias("n"))
     held = near.join(members.select(F.col(key).alias("a"), "g"), "a").join(members.select(F.col(key).alias("b"), "g"), ["b", "g"])
-    covered = held.groupBy("g", "a").agg(F.countDistinct("at").alias("hit")).join(counts, "a").filter("hit = n").select("g", F.col("a").alias(key))
+    covered = held.groupBy("g", "a").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("hit")).join(counts, "a").filter("hit = n").select("g", F.col("a").alias(key))
     whole = members.join(covered, ["g", key]).groupBy("g", code).agg(F.count("*").alias("_in")).join(sides, ["g", code]).filter("_in = n").select("g", F.col(code).alias("_gone"))
     fits = sides.groupBy("g").agg(F.sum("n").alias("n"), F.min("m").alias("lo"), F.max("m").alias("hi"), F.count("*").alias("c")).filter((F.col("n") >= GROUP) & (F.col("c") == 2) & (F.col("hi") > 0) & (F.col("lo") >= ratio * F.col("hi"))).select("g")
     choice = sides.join(fits, "g").join(whole, "g").filter(F.col(code) != F.col("_gone")).groupBy("g").agg(F.min(F.struct("rank", (-F.round("m", 3)).alias("less"), F.col(code).alias("keep"))).alias("o")).select("g", F.col("o.keep").alias("_keep"))
@@ -84,7 +85,7 @@ def split_groups(ways: DataFrame, key: str, line: str, kind: str, code: str, ran
     if settled is None:
         return facts.filter("false").select(key, F.array(key).alias("kept"))
     gone, stays = settled.filter("goes").select("g", F.col(key).alias("a")), settled.filter("NOT goes").select("g", F.col(key).alias("b"))
-    along = gone.join(stays, "g").join(near.select("a", "b").distinct(), ["a", "b"])
+    along = gone.join(stays, "g").join(near.select("a", "b"), ["a", "b"])
     return along.groupBy(F.col("a").alias(key)).agg(F.sort_array(F.collect_set("b")).alias("kept"))
 
 
@@ -112,10 +113,10 @@ def merged(ways: DataFrame, key: str, line: str, kind: str, code: str, rank: Col
     """
     rank = F.lit(0) if rank is None else rank
     rows = ways.filter(F.col(key).isNotNull() & (F.size(line) > 1)).withColumn("_place", F.sha2(F.to_json(F.struct(line)), 256))
-    doubles = rows.withColumn("_stays", F.min(key).over(W.partitionBy(kind, code, "_place"))).filter(F.col(key) != F.col("_stays")).select(key, "_stays")
-    single = rows.join(doubles.select(key), key, "left_anti").drop("_place")
+    doubles = cut(rows.withColumn("_stays", F.min(key).over(W.partitionBy(kind, code, "_place"))).filter(F.col(key) != F.col("_stays")).select(key, "_stays"))
+    single = cut(rows.join(doubles.select(key), key, "left_anti").drop("_place"))
     split = cut(split_groups(single, key, line, kind, code, rank, d, ratio))
-    pairs = cut(paired(single.join(split.select(key), key, "left_anti"), key, line, kind, rank, d, ratio))
+    pairs = cut(paired(cut(single.join(split.select(key), key, "left_anti")), key, line, kind, rank, d, ratio))
     later = split.unionByName(pairs)
     # A record kept in the second pass may go in the third: what it was kept for goes along.
     final = later.select(key, F.explode("kept").alias("_k")).join(pairs.select(F.col(key).alias("_k"), F.col("kept").alias("_then")), "_k", "left").select(key, F.explode(F.coalesce("_then", F.array("_k"))).alias("_k")).groupBy(key).agg(F.sort_array(F.collect_set("_k")).alias("kept"))
