@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from waymeld.functions import geo
 from waymeld.operators import lines
 from waymeld.operators.lineage import cut
+from waymeld.operators.sizes import grown
 
 #: Share of a record that lies along another for the two to be linked, and records in a split group at least.
 LINK, GROUP = 0.8, 3
@@ -39,13 +40,13 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _near(ways: DataFrame, key: str, line: str, kind: str, code: str, d: float) -> tuple[DataFrame, DataFrame]:
     """(a, b, ats): points of a within d metres of b, of one kind and another code; (a, n): the points of a."""
-    said = ways.select(key, kind, code)
+    said = grown(ways.select(key, kind, code))
     pts = lines.samples(ways, key, line).select(key, "_at", "x", "y").join(said, key)
     legs = lines.segments(ways, key, line).join(said, key).select(F.col(key).alias("b"), kind, F.col(code).alias("_other"), "ax", "ay", "bx", "by")
     dealt = legs.withColumn("cx", lines._span(F.col("ax"), F.col("bx"), d, lines.CELL)).withColumn("cy", lines._span(F.col("ay"), F.col("by"), d, lines.CELL))
     asked = pts.withColumn("cx", F.floor(F.col("x") / lines.CELL)).withColumn("cy", F.floor(F.col("y") / lines.CELL))
     close = geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= d
-    met = asked.join(dealt, ["cx", "cy", kind]).filter((F.col(code) != F.col("_other")) & close).groupBy(F.col(key).alias("a"), "b").agg(F.collect_set("_at").alias("ats"))
+    met = asked.join(grown(dealt), ["cx", "cy", kind]).filter((F.col(code) != F.col("_other")) & close).groupBy(F.col(key).alias("a"), "b").agg(F.collect_set("_at").alias("ats"))
     return met, pts.groupBy(F.col(key).alias("a")).agg(F.count("*").alias("n"))
 
 
@@ -60,16 +61,16 @@ def split_groups(ways: DataFrame, key: str, line: str, kind: str, code: str, ran
     facts = cut(ways.filter(F.size(line) > 1).select(key, kind, code, rank.alias("_rank"), geo.length_m(F.col(line)).alias("_m")))
     near, counts = _near(ways, key, line, kind, code, d)
     near, counts = cut(near), cut(counts)
-    shares = near.select("a", "b", F.size("ats").alias("hit")).join(counts, "a").filter(F.col("hit") >= LINK * F.col("n"))
-    one, two = (facts.select(F.col(key).alias(k), F.col(kind).alias(f"_kind_{k}"), F.col(code).alias(f"_code_{k}")) for k in ("a", "b"))
+    shares = near.select("a", "b", F.size("ats").alias("hit")).join(grown(counts), "a").filter(F.col("hit") >= LINK * F.col("n"))
+    one, two = (grown(facts).select(F.col(key).alias(k), F.col(kind).alias(f"_kind_{k}"), F.col(code).alias(f"_code_{k}")) for k in ("a", "b"))
     where = F.struct(F.col("_kind_a").alias("kind"), F.least("_code_a", "_code_b").alias("c1"), F.greatest("_code_a", "_code_b").alias("c2"))
     edges = shares.join(one, "a").join(two, "b").select(F.struct(where.alias("w"), F.col("a").alias("id")).alias("a"), F.struct(where.alias("w"), F.col("b").alias("id")).alias("b"))
-    members = cut(components(edges).select(F.col("component").alias("g"), F.col("node.id").alias(key)).join(facts, key))
+    members = cut(components(edges).select(F.col("component").alias("g"), F.col("node.id").alias(key)).join(grown(facts), key))
 
     # Tables that several steps read are stored: plans stay small, and with them what the driver holds of them.
     sides = members.groupBy("g", code).agg(F.sum("_m").alias("m"), F.min("_rank").alias("rank"), F.count("*").alias("n"))
     held = near.join(members.select(F.col(key).alias("a"), "g"), "a").join(members.select(F.col(key).alias("b"), "g"), ["b", "g"])
-    covered = held.groupBy("g", "a").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("hit")).join(counts, "a").filter("hit = n").select("g", F.col("a").alias(key))
+    covered = held.groupBy("g", "a").agg(F.size(F.array_distinct(F.flatten(F.collect_list("ats")))).alias("hit")).join(grown(counts), "a").filter("hit = n").select("g", F.col("a").alias(key))
     whole = members.join(covered, ["g", key]).groupBy("g", code).agg(F.count("*").alias("_in")).join(sides, ["g", code]).filter("_in = n").select("g", F.col(code).alias("_gone"))
     fits = sides.groupBy("g").agg(F.sum("n").alias("n"), F.min("m").alias("lo"), F.max("m").alias("hi"), F.count("*").alias("c")).filter((F.col("n") >= GROUP) & (F.col("c") == 2) & (F.col("hi") > 0) & (F.col("lo") >= ratio * F.col("hi"))).select("g")
     choice = sides.join(fits, "g").join(whole, "g").filter(F.col(code) != F.col("_gone")).groupBy("g").agg(F.min(F.struct("rank", (-F.round("m", 3)).alias("less"), F.col(code).alias("keep"))).alias("o")).select("g", F.col("o.keep").alias("_keep"))
@@ -92,13 +93,13 @@ def split_groups(ways: DataFrame, key: str, line: str, kind: str, code: str, ran
 def paired(ways: DataFrame, key: str, line: str, kind: str, rank: Column, d: float = lines.SAME, ratio: float = lines.RATIO) -> DataFrame:
     """key, kept: records that are another's twin, and that other. Of linked twins the one stays that most others lie along, then the lesser rank, the longer, more points, the lesser key."""
     found = lines.twins(ways, key, line, d, ratio)
-    kinds = lambda k: ways.select(F.col(key).alias(k), F.col(kind).alias(f"_{k}"))
+    kinds = lambda k: grown(ways).select(F.col(key).alias(k), F.col(kind).alias(f"_{k}"))
     same = cut(found.join(kinds("a"), "a").join(kinds("b"), "b").filter("_a = _b"))
     on = lambda s, o: same.filter((F.col(f"{s}_off") <= d) & (F.col(f"{s}_along") >= lines.TRAVEL)).select(F.col(s).alias("goes"), F.col(o).alias("stays"))
     lies = on("a", "b").unionByName(on("b", "a"))
     groups = components(same.select("a", "b"))
     score = lies.groupBy("stays").agg(F.count("*").alias("_n")).select(F.col("stays").alias("node"), "_n")
-    facts = ways.select(F.col(key).alias("node"), rank.alias("_rank"), F.round(geo.length_m(F.col(line)), 3).alias("_m"), F.size(line).alias("_p"))
+    facts = grown(ways).select(F.col(key).alias("node"), rank.alias("_rank"), F.round(geo.length_m(F.col(line)), 3).alias("_m"), F.size(line).alias("_p"))
     order = F.struct((-F.coalesce("_n", F.lit(0))).alias("o1"), F.col("_rank").alias("o2"), (-F.col("_m")).alias("o3"), (-F.col("_p")).alias("o4"), F.col("node").alias("o5"))
     keepers = groups.join(score, "node", "left").join(facts, "node").groupBy("component").agg(F.min(order).alias("k")).select("component", F.col("k.o5").alias("stays"))
     out = groups.join(keepers, "component").select(F.col("node").alias("goes"), "stays").filter("goes <> stays").join(lies.distinct(), ["goes", "stays"])
@@ -114,7 +115,7 @@ def merged(ways: DataFrame, key: str, line: str, kind: str, code: str, rank: Col
     rank = F.lit(0) if rank is None else rank
     rows = ways.filter(F.col(key).isNotNull() & (F.size(line) > 1)).withColumn("_place", F.sha2(F.to_json(F.struct(line)), 256))
     doubles = cut(rows.withColumn("_stays", F.min(key).over(W.partitionBy(kind, code, "_place"))).filter(F.col(key) != F.col("_stays")).select(key, "_stays"))
-    single = cut(rows.join(doubles.select(key), key, "left_anti").drop("_place"))
+    single = cut(rows.join(grown(doubles).select(key), key, "left_anti").drop("_place"))
     split = cut(split_groups(single, key, line, kind, code, rank, d, ratio))
     pairs = cut(paired(cut(single.join(split.select(key), key, "left_anti")), key, line, kind, rank, d, ratio))
     later = split.unionByName(pairs)

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from waymeld.functions import geo
 from waymeld.operators.lineage import cut
+from waymeld.operators.sizes import grown
 
 #: Metres between points taken along a line, within which two lines are one way, of the least uncovered run, and of a cell.
 STEP, SAME, LEAST, CELL = 5.0, 15.0, 30.0, 50.0
@@ -176,12 +177,12 @@ def twins(lines: DataFrame, key: str, line: str, same: float = SAME, ratio: floa
     first = known.select(F.col(key).alias("p"), geo.metres(F.get(line, 0)).alias("at"), F.col("len").alias("plen"))
     asked = first.select("p", "plen", F.col("at.x").alias("x"), F.col("at.y").alias("y")).withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell))
     slack = same * 1.1 + 2
-    legs = segments(known, key, line).join(known.select(key, "len"), key).withColumnRenamed(key, "q")
+    legs = segments(known, key, line).join(grown(known).select(key, "len"), key).withColumnRenamed(key, "q")
     dealt = legs.withColumn("cx", _span(F.col("ax"), F.col("bx"), slack, cell)).withColumn("cy", _span(F.col("ay"), F.col("by"), slack, cell))
     close = geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= slack
     fits = F.least("plen", "len") >= (ratio - 0.02) * F.greatest("plen", "len")
-    pairs = asked.join(dealt, ["cx", "cy"]).filter((F.col("p") != F.col("q")) & fits & close).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-    side = lambda k, to: lines.select(F.col(key).alias(k), F.col(line).alias(to))
+    pairs = asked.join(grown(dealt), ["cx", "cy"]).filter((F.col("p") != F.col("q")) & fits & close).select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
+    side = lambda k, to: grown(lines).select(F.col(key).alias(k), F.col(line).alias(to))
     out = pairs.join(side("a", "la"), "a").join(side("b", "lb"), "b").select("a", "b", compared("la", "lb").alias("m")).select("a", "b", "m.*")
     on = lambda s: (F.col(f"{s}_off") <= same) & (F.col(f"{s}_along") >= travel)
     return out.filter((F.col("ratio") >= ratio) & (on("a") | on("b")))
