@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymeld.functions import climb, geo
+from waymeld.operators.sizes import grown
 
 #: Pixels along a tile's side and along that of a block, which divides it, and passes of smoothing.
 SIDE, BLOCK, PASSES = 256, 32, 2
@@ -87,7 +88,7 @@ def heights_at(points: DataFrame, point: str, lon: str, lat: str, tiles: DataFra
     left, top = F.pmod(F.col("n"), F.lit(many)), F.floor(F.col("n") / many)
     rows = F.transform(F.sequence(F.lit(0), F.lit(BLOCK - 1)), lambda r: F.slice("heights", ((top * BLOCK + r) * SIDE + left * BLOCK + 1).cast("int"), F.lit(BLOCK)))
     blocks = dealt.select((F.col("x") * many + left).alias("bx"), (F.col("y") * many + top).alias("by"), rows.alias("_rows"))
-    read = placed.join(blocks, ["bx", "by"])
+    read = placed.join(grown(blocks), ["bx", "by"])
     at = lambda i, j: F.when(block(i, j) == F.struct("bx", "by"), F.get(F.get("_rows", F.pmod(F.col("_gy") + j, F.lit(BLOCK)).cast("int")), F.pmod(F.col("_gx") + i, F.lit(BLOCK)).cast("int")))
     found = read.select("_p", "_x", "_y", *[at(i, j).alias(f"_h{i}{j}") for i, j in corners]).groupBy("_p").agg(F.first("_x").alias("_x"), F.first("_y").alias("_y"), *[F.max(f"_h{i}{j}").alias(f"_h{i}{j}") for i, j in corners])
     own = [F.col(f"_h{i}{j}") for i, j in corners]
@@ -104,7 +105,7 @@ def profiles(ways: DataFrame, key: str, parts: str, tiles: DataFrame, zoom: int,
     # Ways are small and their points many, so ways are dealt out before; outer, since the filter of a plain one would be pushed below that.
     lines = ways.select(key, parts).repartition(key).select(key, F.posexplode(parts).alias("pos", "_line"))
     points = lines.select(key, "pos", F.posexplode_outer(geo.resampled("_line")).alias("_i", "_q")).filter("_i IS NOT NULL").select(F.struct(key, "pos", "_i").alias("at"), "_q.*")
-    known = points.join(heights_at(points, "at", "x", "y", tiles, zoom), "at")
+    known = grown(points).join(heights_at(points, "at", "x", "y", tiles, zoom), "at")
     rows = known.groupBy(F.col(f"at.{key}").alias(key), F.col("at.pos").alias("pos")).agg(F.sort_array(F.collect_list(F.struct(F.col("at._i").alias("i"), "height", "d"))).alias("_s")).filter(F.size("_s") > 1)
     return rows.select(key, "pos", climb.smooth(F.transform("_s", lambda s: s["height"]), passes).alias("heights"), F.transform("_s", lambda s: s["d"]).alias("distances"))
 
@@ -120,6 +121,6 @@ def measured(ways: DataFrame, key: str, parts: str, tiles: DataFrame, zoom: int,
     h, d = F.col("heights"), F.col("distances")
     each = profiles(ways, key, parts, tiles, zoom).select(key, climb.total_ascent(h, threshold).alias("up"), climb.total_ascent(F.reverse(h), threshold).alias("down"), climb.steepest_run(h, d).alias("steep"), F.size(h).alias("n"), (F.element_at(d, -1) - F.get(d, 0)).alias("m"))
     sums = each.groupBy(key).agg(F.sum("up").alias("_up"), F.sum("down").alias("_down"), F.max("steep").alias("_steep"), F.sum("n").alias("_n"), F.sum("m").alias("_m"))
-    out = ways.select(key).distinct().join(sums, key, "left")
+    out = ways.select(key).distinct().join(grown(sums), key, "left")
     return out.select(key, F.round(F.greatest("_up", "_down"), 1).alias("climb_m"), F.round("_up", 1).alias("ascent_m"), F.round("_down", 1).alias("descent_m"), F.round("_steep.pct", 1).alias("sustained_pct"), F.round("_steep.run_m", 1).alias("sustained_run_m"),
                       F.coalesce("_n", F.lit(0)).alias("samples"), F.round(F.coalesce("_m", F.lit(0.0)), 1).alias("measured_m"))
