@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from waymeld.functions import geo, text
 from waymeld.operators import lines
+from waymeld.operators.sizes import grown
 
 #: Metres between points taken along a way, and within which a point is on a line; least |cos| of the angle between the two.
 STEP, ON, COS = 25.0, 20.0, 0.70
@@ -48,7 +49,7 @@ def hits(ways: DataFrame, key: str, line: str, surveyed: DataFrame, other: str,
     pts = each.select(key, F.posexplode_outer("_s").alias("i", "p")).filter("i IS NOT NULL").select(key, "i", "p.*")
     legs = lines.segments(surveyed.select(F.col(other).alias("_o"), other_line).repartition("_o"), "_o", other_line).withColumn("_a", F.atan2(F.col("by") - F.col("ay"), F.col("bx") - F.col("ax")))
     dealt = legs.withColumn("cx", lines._span(F.col("ax"), F.col("bx"), ON, cell)).withColumn("cy", lines._span(F.col("ay"), F.col("by"), ON, cell))
-    met = pts.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell)).join(dealt, ["cx", "cy"]).filter(
+    met = pts.withColumn("cx", F.floor(F.col("x") / cell)).withColumn("cy", F.floor(F.col("y") / cell)).join(grown(dealt), ["cx", "cy"]).filter(
         (geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= ON) & (F.abs(F.cos(F.col("_a") - F.col("angle"))) >= COS))
     return met.groupBy(key, F.col("_o").alias(other)).agg(F.sort_array(F.collect_set("i")).alias("points")), pts.groupBy(key).agg(F.count("*").alias("total"))
 
@@ -79,7 +80,7 @@ def under(ways: DataFrame, key: str, line: str, surveyed: DataFrame, other: str,
     A way with no line has no row. One group holds one way's lines, a number each per point.
     """
     found, totals = hits(ways, key, line, surveyed, other, other_line)
-    good = found.join(totals, key).filter((F.size("points") >= LEAST) & (F.size("points") >= SHARE * F.col("total")))
+    good = found.join(grown(totals), key).filter((F.size("points") >= LEAST) & (F.size("points") >= SHARE * F.col("total")))
     row = F.struct(F.get("points", 0).alias("at"), F.col(other).alias("o"), F.col("points").alias("p"))
     ways_lines = good.groupBy(key).agg(F.sort_array(F.collect_list(row)).alias("_l"), F.first("total").alias("_n"))
     taken = ways_lines.withColumn("_t", _greedy(F.transform("_l", lambda l: F.struct(l["p"].alias("p")))))
