@@ -40,16 +40,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _near(ways: DataFrame, key: str, line: str, kind: str, code: str, d: float) -> tuple[DataFrame, DataFrame]:
     """(a, b, ats): points of a within d metres of b, of one kind and another code; (a, n): the points of a."""
-    # Kind and code go with the key, so that points meet no table of ways, and a point is one number: its leg and its place in it.
+    # Kind and code go with the key, so that no table of ways is met, and a point is one number: its leg and its place in it.
     own = ways.filter(F.col(key).isNotNull()).select(F.struct(F.col(key).alias("key"), F.col(kind).alias("kind"), F.col(code).alias("code")).alias("_own"), line)
-    at = F.shiftleft(F.col("_at.leg").cast("long"), 32) + F.col("_at.i")
-    pts = lines.samples(own, "_own", line).select(F.col("_own.key").alias("a"), F.col("_own.kind").alias("_kind"), F.col("_own.code").alias("_code"), at.alias("_at"), "x", "y")
-    legs = lines.segments(own, "_own", line).select(F.col("_own.key").alias("b"), F.col("_own.kind").alias("_kind"), F.col("_own.code").alias("_other"), "ax", "ay", "bx", "by")
-    dealt = legs.withColumn("cx", lines._span(F.col("ax"), F.col("bx"), d, lines.CELL)).withColumn("cy", lines._span(F.col("ay"), F.col("by"), d, lines.CELL))
-    asked = pts.withColumn("cx", F.floor(F.col("x") / lines.CELL)).withColumn("cy", F.floor(F.col("y") / lines.CELL))
-    close = geo.segment_m(F.col("x"), F.col("y"), F.col("ax"), F.col("ay"), F.col("bx"), F.col("by")) <= d
-    met = asked.join(grown(dealt), ["cx", "cy", "_kind"]).filter((F.col("_code") != F.col("_other")) & close).groupBy("a", "b").agg(F.collect_set("_at").alias("ats"))
-    return met, pts.groupBy("a").agg(F.count("*").alias("n"))
+    legs = lines.segments(own, "_own", line).select("_own.*", "leg", "ax", "ay", "bx", "by")
+    mine = lines.stepped(legs.select(F.col("key").alias("a"), F.col("kind").alias("_kind"), F.col("code").alias("_code"), "leg", "ax", "ay", "bx", "by"))
+    theirs = grown(legs.select(F.col("key").alias("b"), F.col("kind").alias("_kind"), F.col("code").alias("_other"), *[F.col(c).alias(f"s{c}") for c in ("ax", "ay", "bx", "by")]))
+    near = lines.near_bits(mine, theirs, ["a", "_code", "leg"], ["b"], d, on=("_kind",), where=F.col("_code") != F.col("_other"))
+    near = near.groupBy("a", "b", "leg", "lo").agg(F.bit_or("_bits").alias("_bits")).filter("_bits <> 0")
+    places = F.filter(F.sequence(F.lit(0), F.lit(lines.BLOCK - 1)), lambda j: F.getbit("_bits", j) == 1)
+    ats = F.transform(places, lambda j: F.shiftleft(F.col("leg").cast("long"), 32) + F.col("lo") + j)
+    met = near.groupBy("a", "b").agg(F.array_distinct(F.flatten(F.collect_list(ats))).alias("ats"))
+    return met, mine.groupBy("a").agg(F.sum(F.col("last") - F.col("first") + 1).alias("n"))
 
 
 def split_groups(ways: DataFrame, key: str, line: str, kind: str, code: str, rank: Column, d: float = lines.SAME, ratio: float = lines.RATIO) -> DataFrame:
