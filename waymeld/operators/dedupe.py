@@ -44,7 +44,7 @@ def _near(ways: DataFrame, key: str, line: str, kind: str, code: str, d: float)
     own = ways.filter(F.col(key).isNotNull()).select(F.struct(F.col(key).alias("key"), F.col(kind).alias("kind"), F.col(code).alias("code")).alias("_own"), line)
     legs = lines.segments(own, "_own", line).select("_own.*", "leg", "ax", "ay", "bx", "by")
     mine = lines.stepped(legs.select(F.col("key").alias("a"), F.col("kind").alias("_kind"), F.col("code").alias("_code"), "leg", "ax", "ay", "bx", "by"))
-    theirs = grown(legs.select(F.col("key").alias("b"), F.col("kind").alias("_kind"), F.col("code").alias("_other"), *[F.col(c).alias(f"s{c}") for c in ("ax", "ay", "bx", "by")]))
+    theirs = legs.select(F.col("key").alias("b"), F.col("kind").alias("_kind"), F.col("code").alias("_other"), *[F.col(c).alias(f"s{c}") for c in ("ax", "ay", "bx", "by")])
     near = lines.near_bits(mine, theirs, ["a", "_code", "leg"], ["b"], d, on=("_kind",), where=F.col("_code") != F.col("_other"))
     near = near.groupBy("a", "b", "leg", "lo").agg(F.bit_or("_bits").alias("_bits")).filter("_bits <> 0")
     places = F.filter(F.sequence(F.lit(0), F.lit(lines.BLOCK - 1)), lambda j: F.getbit("_bits", j) == 1)

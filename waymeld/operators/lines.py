@@ -108,7 +108,7 @@ def near_bits(legs: DataFrame, theirs: DataFrame, own: list[str], other: list[st
     first = lambda p, a, b: F.floor(F.greatest(F.col(p), F.least(a, b) - d) / cell)
     meets = lambda p, q, a, b: (F.col(p) <= F.greatest(a, b) + d) & (F.col(q) >= F.least(a, b) - d)
     once = (F.col("cx") == first("px", "sax", "sbx")) & (F.col("cy") == first("py", "say", "sby")) & meets("px", "qx", "sax", "sbx") & meets("py", "qy", "say", "sby")
-    met = asked.join(dealt, ["cx", "cy", *on]).filter(once if where is None else once & where)
+    met = asked.join(grown(dealt), ["cx", "cy", *on]).filter(once if where is None else once & where)
     return met.select(*own, *other, "ax", "ay", "bx", "by", "lo", _near_mask(d, step)("ax", "ay", "bx", "by", "m", "lo", "hi", "last", "sax", "say", "sbx", "sby").alias("_bits"))
 
 
@@ -124,7 +124,7 @@ def covered_share(lines: DataFrame, others: DataFrame, key: str, line: str, d: f
     near = near_bits(legs, theirs, [key, "leg", "c"], [], d, step, cell)
     near = near.groupBy(key, "leg", *ends, "c", "lo").agg(F.bit_or("_bits").alias("_bits"))
     hit = near.groupBy(key).agg(F.sum(F.col("c") * F.bit_count("_bits")).alias("_hit"))
-    return all_.join(hit, key, "left").select(key, (F.coalesce("_hit", F.lit(0)) / F.col("_all")).alias("share"))
+    return all_.join(grown(hit), key, "left").select(key, (F.coalesce("_hit", F.lit(0)) / F.col("_all")).alias("share"))
 
 
 def uncovered_runs(lines: DataFrame, others: DataFrame, key: str, line: str, d: float = SAME, least: float = LEAST, step: float = STEP) -> DataFrame:
@@ -301,7 +301,7 @@ def drawn(features: DataFrame, key: str, parts: str, others: DataFrame, line: st
     # Features are small and their points many, so features are dealt out before they are taken apart.
     each = features.select(key, parts).repartition(key).select(key, F.posexplode(parts).alias("_pos", "_line")).filter(F.size("_line") > 1)
     each = each.select(F.struct(key, "_pos").alias("_part"), "_line", geo.length_m(F.col("_line")).alias("_m"))
-    shares = covered_share(each, others, "_part", "_line", d).join(each.select("_part", "_m"), "_part")
+    shares = covered_share(each, others, "_part", "_line", d).join(grown(each).select("_part", "_m"), "_part")
     return shares.groupBy(F.col(f"_part.{key}").alias(key)).agg(F.coalesce(F.sum(F.col("share") * F.col("_m")) / F.nullif(F.sum("_m"), F.lit(0.0)), F.lit(0.0)).alias("share"), F.sum("_m").alias("length_m"))
 
 
